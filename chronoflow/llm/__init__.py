@@ -3,4 +3,4 @@
 ``MODULES`` names the modules that hold queries.
 """
 
-MODULES = ("q_topn", "q_capping", "q_encoding")
+MODULES = ("q_topn", "q_capping", "q_neardup", "q_encoding")
