@@ -3,4 +3,4 @@
 ``MODULES`` names the modules that hold queries.
 """
 
-MODULES = ("q_topn", "q_truncation", "q_capping", "q_neardup", "q_residue", "q_encoding", "q_mojibake")
+MODULES = ("q_topn", "q_truncation", "q_capping", "q_neardup", "q_residue", "q_encoding", "q_mojibake", "q_packing", "q_splitting")
