@@ -25,8 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoflow.plans.staging import Stage
+
 #: Most intact values the model is fitted on, and the number of hashed weights.
 SAMPLE, WEIGHTS = 24_000, 1 << 18
+#: Sources with a limit up to which their table is broadcast; beyond, it is joined by shuffle.
+MAX_BROADCAST = 50_000
 #: Probability from which a record counts as truncated.
 LEAST = 0.5
 #: Labelled marks of a cut, as publishing software leaves them.
@@ -169,8 +173,10 @@ def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LE
     ended = narrow.where(F.col("x").rlike(r"([.!?][”\")]?|\))\s*$"))
     intact = [r.x.rstrip() for r in ended.select("x", F.xxhash64("x", "k").alias("h")).orderBy("h", "x").limit(sample).select("x").toLocalIterator()]
     intact = [t for t in intact if not MARKED.search(t)]
-    # one row per source with a limit; sources are few, a larger table is joined by shuffle
-    limits = field_limits(df, text, source)
+    # one row per source with a limit
+    limits = Stage(df.sparkSession, "truncation").write(field_limits(df, text, source), "limits")
+    if limits.count() <= MAX_BROADCAST:
+        limits = F.broadcast(limits)
     rows = narrow.join(limits, "s", "left")
     model = fit(intact) if len(intact) >= 20 else None
 
