@@ -103,7 +103,8 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, tie: str, c
         state.kept = rows.where(F.lit(False)).select("c", "s", "t")
         state.logged = [rows.select("c", "t")]
         return state
-    edges = sorted({*rows.approxQuantile("a", [i / batches for i in range(1, batches)], 0.02)}) if arrival and batches > 1 else []
+    edges = rows.select(F.percentile_approx("a", [i / batches for i in range(1, batches)], 200)).first()[0] if arrival and batches > 1 else None
+    edges = sorted({*(edges or ())})
     number = F.lit(0)
     for e in edges:
         number = number + F.coalesce((F.col("a") > F.lit(e)).cast("int"), F.lit(1))

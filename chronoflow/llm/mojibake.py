@@ -63,15 +63,18 @@ class Repair:
 
         # what was misread once may be misread again: all that the common encodings can give
         known = dict.fromkeys([*REPERTOIRE, *(misread(bytes([b]), e) for e in COMMON for b in range(0x80, 0x100))])
+        plain = []
         for encoding in (*COMMON, *OTHERS):
             for ch in known:
                 form = misread(ch.encode("utf-8"), encoding)
                 # a form that ends in blank can't be told from text that has one there
                 if form.strip(" ") == form:
                     add(form, ch, "utf-8", encoding in COMMON)
-                    if ch.isalpha() and encoding in COMMON:
-                        add(form.lower(), ch.lower(), "case", True)
-                        add(form.upper(), ch.upper(), "case", False)
+                    plain.append((form, ch, encoding))
+        for form, ch, encoding in plain:  # texts whose case was changed afterwards
+            if ch.isalpha() and encoding in COMMON:
+                add(form.lower(), ch.lower(), "case", True)
+                add(form.upper(), ch.upper(), "case", False)
         for written, read in CYRILLIC:
             for a in LETTERS:
                 for b in LETTERS:

@@ -2,7 +2,8 @@
 
 Labelled exemplars of residue (unfilled places, filler and draft text, error pages, notices that
 scripts, cookies, a login or a check is needed) are kept in an inverted index from token to
-exemplars. A text's tokens retrieve the exemplars that share a rare token with it; for each, the
+exemplars. A text's tokens retrieve the exemplars of which they hold a heavy token, without which the
+threshold can't be met; for each, the
 share of the exemplar's TF-IDF mass that lies within one window of the text is its containment.
 Texts in which a window covers an exemplar to its threshold or more are excluded.
 
@@ -86,8 +87,6 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
 )
 #: Tokens per window, beyond those of the exemplar: room for names.
 SLACK = 14
-#: A token starts a retrieval if no more than this share of the texts holds it.
-RARE = 0.02
 
 #: Unfilled places by form: braces, angle and percent tags, dollar, at, hash, underscore and percent names, printf and numbered places, bracketed orders and names in capitals.
 PLACE = regex.compile(
@@ -109,25 +108,28 @@ class Index:
     def __init__(self, exemplars: tuple[tuple[str, float], ...], frequency: dict[str, int], texts: int):
         idf = lambda t: math.log((texts + 1) / (frequency.get(t, 0) + 1)) + 0.1
         self.rows = []
-        self.lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        self.rare = set()
+        self.lists: dict[str, list[int]] = defaultdict(list)
+        self.heads: dict[str, list[int]] = defaultdict(list)
         for n, (text, need) in enumerate(exemplars):
             own = defaultdict(int)
             for t in tokens(text):
                 own[t] += 1
             weights = {t: c * idf(t) for t, c in own.items()}
             self.rows.append((own, {t: idf(t) for t in own}, sum(weights.values()), need, sum(own.values()) + SLACK))
-            for t in own:
+            # a match must hold one of the rarest tokens: what the others weigh falls short of the threshold
+            rest = sum(weights.values())
+            for t in sorted(own, key=lambda t: (-weights[t], t)):
+                if rest >= need * sum(weights.values()) - 1e-9:
+                    self.heads[t].append(n)
+                rest -= weights[t]
                 self.lists[t].append(n)
-                if frequency.get(t, 0) <= RARE * max(texts, 1):
-                    self.rare.add(t)
 
     def best(self, text: str) -> tuple[float, int]:
         """(containment over threshold, exemplar) of the best window; 1 or more is a match."""
         found = tokens(text)
         hits = [(i, t) for i, t in enumerate(found) if t in self.lists]
         best, which = 0.0, -1
-        for n in {n for _, t in hits if t in self.rare for n in self.lists[t]}:
+        for n in sorted({n for _, t in hits if t in self.heads for n in self.heads[t]}):
             own, idf, mass, need, width = self.rows[n]
             places = [(i, t) for i, t in hits if t in own]
             first, held, inside = 0, 0.0, defaultdict(int)

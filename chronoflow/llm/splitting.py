@@ -53,13 +53,13 @@ def cuts(own: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
         at = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
         i = np.minimum(np.searchsorted(ends, at), n - 1)
         kinds.append((name, i[(ends[i] == at) & whole[i]] + 1))
-    out, start = [], 0
+    out, start, done = [], 0, 0
     while True:
         begin = int(ends[start - 1]) if start else 0
         if n - start <= limit:
             out.append((begin, len(text), n - start, "end"))
             return out
-        top, low = start + limit, start + overlap
+        top, low = start + limit, max(start + overlap, done)
         end, kind = 0, "hard"
         for fill in (limit // 2, 0):
             for name, at in kinds[: len(kinds) if not fill else -1]:
@@ -71,8 +71,12 @@ def cuts(own: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
                 break
         if not end:
             i = np.searchsorted(places, top, "right") - 1
-            end = int(places[i]) if i >= 0 and places[i] > start else top
+            end = int(places[i]) if i >= 0 else 0
+            if end <= done:  # a character of several tokens right after the overlap: go on without it
+                start = done
+                continue
         out.append((begin, int(ends[end - 1]), end - start, kind))
+        done = end
         i = np.searchsorted(places, end - overlap, "right") - 1
         back = int(places[i]) if i >= 0 else 0
         start = back if back > start else end
@@ -86,8 +90,8 @@ def split_texts(df: DataFrame, key: str, text: str, path: str, limit: int = 512,
     several tokens takes (none where a piece is no longer than the overlap). Repeated rows are split
     once each. Other columns are not read.
     """
-    if not 0 <= overlap < limit:
-        raise ValueError("overlap must be from 0 to under the limit")
+    if not (0 <= overlap < limit and limit >= 8):
+        raise ValueError("the limit must be 8 or more, the overlap from 0 to under it")
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"))
     kind = narrow.schema["k"].dataType.simpleString()
 

@@ -37,7 +37,8 @@ def top_n(df: DataFrame, groups: list[str], score: str, tie: str, n: int = 3, ba
     if n <= 0:
         return narrow.where(F.lit(False)).select(*out)
     # edges of the bands from a quantile sketch over all rows: a few numbers
-    edges = sorted({*narrow.approxQuantile("s", [1 - b for b in bands], 0.01)}, reverse=True)
+    edges = narrow.select(F.percentile_approx("s", [1 - b for b in bands], 200)).first()[0] if bands else None
+    edges = sorted({*(edges or ())}, reverse=True)
     stage = Stage(df.sparkSession, "topn")
     band = F.lit(0)
     for e in edges:
