@@ -17,14 +17,27 @@ from pyspark.sql import functions as F
 
 from chronoflow.llm.bpe import Encoder, encoder
 
-#: Kinds of boundaries, strongest first: the match's end is the place of the cut.
-KINDS = (
-    ("paragraph", regex.compile(r"\S(?=[^\S\n\r]*(?:\r?\n|\r)[^\S\n\r]*(?:\r?\n|\r))")),
-    ("line", regex.compile(r"[^\s](?=[^\S\n\r]*[\n\r])")),
-    ("sentence", regex.compile(r"[.!?…][\p{Pe}\p{Pf}\"']*(?=\s)|[。！？｡]")),
-    ("clause", regex.compile(r"[,;:–—、，；](?=\s|$)|[、，；]")),
-    ("word", regex.compile(r"\S(?=\s)")),
-)
+#: White space with a line break; with two or more it ends a paragraph.
+BREAKS = regex.compile(r"[^\S\n\r]*(?:\r\n|\n|\r)\s*+")
+#: Kinds of boundaries by pattern, after paragraphs and lines, strongest first: the match's end is the place of the cut.
+SENTENCE = regex.compile(r"[.!?…][\p{Pe}\p{Pf}\"']*(?=\s)|[。！？｡]")
+CLAUSE = regex.compile(r"[,;:–—](?=\s|$)|[、，；]")
+SPACE = regex.compile(r"\s++")
+
+
+#: All kinds, strongest first.
+KINDS = ("paragraph", "line", "sentence", "clause", "word")
+
+
+def boundaries(text: str, kind: str) -> list[int]:
+    """Sorted places (characters) of one kind of boundary."""
+    if kind == "paragraph":
+        return [m.start() for m in BREAKS.finditer(text) if m.start() and (g := m.group()).count("\n") + g.count("\r") - g.count("\r\n") > 1]
+    if kind == "line":
+        return [m.start() for m in BREAKS.finditer(text) if m.start()]
+    if kind == "word":
+        return [m.start() for m in SPACE.finditer(text) if m.start()]
+    return [m.end() for m in (SENTENCE if kind == "sentence" else CLAUSE).finditer(text)]
 
 
 def token_ends(own: Encoder, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +61,15 @@ def cuts(own: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
         return [(0, len(text), n, "end")] if n else []
     # numbers of tokens after which a cut leaves whole characters
     places = np.flatnonzero(whole) + 1
-    kinds = []
-    for name, pattern in KINDS:
-        at = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
-        i = np.minimum(np.searchsorted(ends, at), n - 1)
-        kinds.append((name, i[(ends[i] == at) & whole[i]] + 1))
+    sought: dict[str, np.ndarray] = {}
+
+    def tokens_before(kind: str) -> np.ndarray:
+        if kind not in sought:  # weaker kinds are sought only in texts that need them
+            at = np.array(boundaries(text, kind), np.int64)
+            i = np.minimum(np.searchsorted(ends, at), n - 1)
+            sought[kind] = i[(ends[i] == at) & whole[i]] + 1
+        return sought[kind]
+
     out, start, done = [], 0, 0
     while True:
         begin = int(ends[start - 1]) if start else 0
@@ -62,7 +79,8 @@ def cuts(own: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
         top, low = start + limit, max(start + overlap, done)
         end, kind = 0, "hard"
         for fill in (limit // 2, 0):
-            for name, at in kinds[: len(kinds) if not fill else -1]:
+            for name in KINDS:
+                at = tokens_before(name)
                 i = np.searchsorted(at, top, "right") - 1
                 if i >= 0 and at[i] > max(low, start + fill):
                     end, kind = int(at[i]), name
