@@ -171,7 +171,11 @@ def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LE
     """
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"), F.col(f"`{source}`").cast("string").alias("s")).where(F.length(F.trim("x")) > 0)
     ended = narrow.where(F.col("x").rlike(r"([.!?][”\")]?|\))\s*$"))
-    intact = [r.x.rstrip() for r in ended.select("x", F.xxhash64("x", "k").alias("h")).orderBy("h", "x").limit(sample).select("x").toLocalIterator()]
+    hashed = ended.select("x", F.xxhash64("x", "k").alias("h"))
+    total = ended.count()
+    if total > 4 * sample:  # the lowest hashes lie far below this bound: only they are sorted
+        hashed = hashed.where(F.col("h") < int(-(2**63) + 2**64 * (2 * sample / total)))
+    intact = [r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()]
     intact = [t for t in intact if not MARKED.search(t)]
     # one row per source with a limit
     limits = Stage(df.sparkSession, "truncation").write(field_limits(df, text, source), "limits")
