@@ -60,8 +60,9 @@ def slugify(text: Column, longest: int = 80) -> Column:
 def index_tokens(text: Column) -> Column:
     """Distinct tokens of an index: three characters or more (two with a digit), no stop words, with a crude singular."""
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-    stop = F.array(*map(F.lit, STOP))
-    kept = F.filter(words, lambda w: ~F.array_contains(stop, w) & ((F.length(w) >= 3) | ((F.length(w) >= 2) & w.rlike("[0-9]"))))
+    # one hash lookup per word, and repeats are gone before the rest
+    known = F.array_except(words, F.array(*map(F.lit, STOP)))
+    kept = F.filter(known, lambda w: (F.length(w) >= 3) | ((F.length(w) >= 2) & w.rlike("[0-9]")))
     single = lambda w: (F.length(w) > 4) & F.endswith(w, F.lit("s")) & ~F.endswith(w, F.lit("ss"))
     return F.array_distinct(F.flatten(F.transform(kept, lambda w: F.when(single(w), F.array(w, F.left(w, F.length(w) - 1))).otherwise(F.array(w)))))
 

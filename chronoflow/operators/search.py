@@ -49,7 +49,7 @@ def query_terms(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, "q string, word int, form string")
 
 
-def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None) -> DataFrame:
+def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None, share: int = 5) -> DataFrame:
     """q, doc, score, place: the best ``limit`` documents (doc, year, text) for each query.
 
     A word counts with ln(documents / documents that hold one of its forms). Documents with all words
@@ -58,7 +58,11 @@ def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: i
     """
     spark = docs.sparkSession
     n = docs.agg(F.count(F.lit(1))).scalar()
-    hits = tokens.join(F.broadcast(query_terms(spark, queries)), F.col("token") == F.col("form")).select("q", "word", "doc").distinct()
+    terms = query_terms(spark, queries)
+    # only the words asked for are looked at; those in more than a share of the documents separate nothing
+    met = tokens.join(F.broadcast(terms.select(F.col("form").alias("token")).distinct()), "token")
+    rare = met.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= F.floor(n / share))
+    hits = met.join(F.broadcast(rare.select("token")), "token").join(F.broadcast(terms), F.col("token") == F.col("form")).select("q", "word", "doc").distinct()
     idf = hits.groupBy("q", "word").agg(F.log(n / F.count(F.lit(1))).alias("idf"))
     words = idf.groupBy("q").agg(F.count(F.lit(1)).alias("words"))
     score = hits.join(F.broadcast(idf), ["q", "word"]).groupBy("q", "doc").agg(F.sum("idf").alias("score"), F.count(F.lit(1)).alias("hits")).join(F.broadcast(words), "q")

@@ -127,16 +127,16 @@ SQL_WORDS = "list_distinct(regexp_extract_all(lower(%s), '[a-z]{4,}'))"
 
 
 @R.add(f"""
-WITH l AS (SELECT slug, {SQL_WORDS % 'description'} AS w FROM subjects WHERE description IS NOT NULL), r AS (SELECT page_id, row_id, {SQL_WORDS % 'text'} AS w FROM published WHERE kind = 'birth'),
-lt AS (SELECT slug, len(w) AS size, unnest(w) AS token FROM l), rt AS (SELECT row_id, unnest(w) AS token FROM r),
-m AS (SELECT slug, size, row_id, count(*) AS shared FROM lt JOIN rt USING (token) GROUP BY 1, 2, 3)
-SELECT slug, row_id, shared, round(shared / size, 6) AS coverage FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY shared DESC, row_id) AS k FROM m) WHERE k = 1""")
+WITH l AS (SELECT slug, first_year AS year, {SQL_WORDS % 'description'} AS w FROM subjects WHERE description IS NOT NULL), r AS (SELECT year, row_id, {SQL_WORDS % 'text'} AS w FROM published WHERE kind = 'birth'),
+lt AS (SELECT slug, year, len(w) AS size, unnest(w) AS token FROM l), rt AS (SELECT year, row_id, unnest(w) AS token FROM r),
+m AS (SELECT year, slug, size, row_id, count(*) AS shared FROM lt JOIN rt USING (year, token) GROUP BY 1, 2, 3, 4)
+SELECT year, slug, row_id, shared, round(shared / size, 6) AS coverage FROM (SELECT *, row_number() OVER (PARTITION BY year, slug ORDER BY shared DESC, row_id) AS k FROM m) WHERE k = 1""")
 def j13_best_overlap(t):
-    """The birth that shares most words with each subject's description."""
+    """The birth of a subject's first year that shares most words with its description."""
     w = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{4,}"), F.lit(0)))
-    left = t.subjects.where("description is not null").select("slug", w("description").alias("lw"))
-    right = t.published.where("kind = 'birth'").select("row_id", w("text").alias("rw"))
-    return J.best_overlap(left, right, [], "slug", "row_id", "lw", "rw")
+    left = t.subjects.where("description is not null").select("slug", F.col("first_year").alias("year"), w("description").alias("lw"))
+    right = t.published.where("kind = 'birth'").select("row_id", "year", w("text").alias("rw"))
+    return J.best_overlap(left, right, ["year"], "slug", "row_id", "lw", "rw")
 
 
 @R.add(f"""
