@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -25,6 +26,6 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     whole = os.path.join(folder, name)
                     archive.write(whole, os.path.relpath(whole, os.path.dirname(package)))
-    context.addPyFile(path)  # copied to the driver's own store, from which executors fetch it
-    os.unlink(path)
+    context.addPyFile(path)  # executors fetch it from the driver while the driver lives
+    atexit.register(lambda: os.path.exists(path) and os.unlink(path))
     setattr(context, _FLAG, True)
