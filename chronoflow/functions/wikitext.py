@@ -119,7 +119,7 @@ def clean_line(line: str) -> tuple[str, list[str], bool]:
     t = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", t)
     t = re.sub(r"\[https?://\S+\s+([^\]]*)\]", r"\1", t)
     t = html.unescape(re.sub(r"</?[a-zA-Z][^>]*>", "", t.replace("'''", "").replace("''", "")))
-    t = re.sub(r"\s+", " ", t).strip(" *:#")
+    t = re.sub(r"\s+", " ", t).lstrip(" *:#").rstrip()
     body = re.sub(rf"^(?:(?:{MONTHS})(?: \d{{1,2}})?|\d{{1,2}} (?:{MONTHS}))\s*[–—-]\s*", "", t)
     good = known and len(body) >= 12 and not re.search(r"[\[\]{}|]|^[,;.:)]|:$", body) and t.count("(") == t.count(")") and t.count("“") == t.count("”")
     return t, list(dict.fromkeys(links))[:12], good

@@ -33,11 +33,12 @@ def top_per_group(df: DataFrame, by: list[str], order: list[Column], cap: Column
 def even_spread(df: DataFrame, by: list[str], order: list[str], cap: int) -> DataFrame:
     """``cap`` rows of each group at even distances in order; smaller groups whole."""
     w = Window.partitionBy(*by)
-    out = df.withColumn("i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("n", F.count(F.lit(1)).over(w))
+    i, n = F.col("__i"), F.col("__n")
+    out = df.withColumn("__i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.count(F.lit(1)).over(w))
     # row i is taken if some k has floor(k * n / cap) = i
-    k = F.ceil(F.col("i") * cap / F.col("n"))
-    taken = (F.col("n") <= cap) | ((k < cap) & (F.floor(k * F.col("n") / cap) == F.col("i")))
-    return out.where(taken).drop("n", "i")
+    k = F.ceil(i * cap / n)
+    taken = (n <= cap) | ((k < cap) & (F.floor(k * n / cap) == i))
+    return out.where(taken).drop("__i", "__n")
 
 
 def breadth_first(df: DataFrame, by: list[str], party: str, order: list[Column], cap: int) -> DataFrame:
