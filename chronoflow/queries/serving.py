@@ -225,7 +225,8 @@ def v09_machine_surface(t):
     dump = stage.write(rows, "dump")
     words = rows.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0))).alias("w")).distinct()
     kept = stage.write(words, "words")
-    check = lambda part, a, b: a.exceptAll(b).agg(F.count(F.lit(1)).alias("missing")).select(F.lit(part).alias("part"), "missing").join(b.exceptAll(a).agg(F.count(F.lit(1)).alias("extra")).select(F.lit(part).alias("part"), "extra"), "part").join(b.agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "n"), "part")
+    gone = lambda a, b: a.exceptAll(b).agg(F.count(F.lit(1))).scalar()
+    check = lambda part, a, b: b.agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), gone(a, b).alias("missing"), gone(b, a).alias("extra"), "n")
     return check("dump", rows, dump).unionByName(check("index", words, kept))
 
 
