@@ -29,7 +29,7 @@ CYRILLIC = (("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp1251", "cp1252"), ("
 #: Letters and signs that texts are expected to hold.
 REPERTOIRE = [chr(c) for r in ((0x80, 0x180), (0x384, 0x3CF), (0x400, 0x460), (0x490, 0x492), (0x2010, 0x2027), (0x2030, 0x203B)) for c in range(*r)] + ["\u2212", "\ufffd", "\ufeff"]
 #: Letters by Unicode that sit in no word here: a match with one is hard. Quotes and dashes, which may follow any word.
-SIGNS, TAILS = "ªºƒˆ", "“”‘’„‚–—…"
+SIGNS, TAILS = "ªºƒˆ", "“”’–—…"
 LETTERS = [chr(c) for c in range(0x410, 0x450)] + ["Ё", "ё"]
 LEADS = "ÂÃÄÅÐÑĂĹ"
 
