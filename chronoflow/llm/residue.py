@@ -28,9 +28,9 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("⟨place⟩", 1.0),
     ("[object Object]", 1.0),
     ("undefined undefined", 1.0),
-    ("undefined born NaN", 0.6),
+    ("undefined undefined … born NaN", 0.6),
     ("null null", 1.0),
-    ("XXXX elected with NN votes", 0.6),
+    ("XXXX … elected … with NN votes", 0.6),
     ("XXXX XXXX", 1.0),
     ("DD Month YYYY Name of ruler", 0.6),
     ("Entry title Entry body Entry date", 0.6),
@@ -39,8 +39,8 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("TBD TBD", 1.0),
     ("FIXME", 1.0),
     # filler and draft text
-    ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum", 0.055),
-    ("asdf asdf qwer test test", 0.6),
+    ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum …", 0.033),
+    ("asdf asdf … qwer … test test", 0.6),
     ("Sample text for … replace this with a sentence about … before publishing to", 0.55),
     ("Your text about … goes here Draft by … desk", 0.55),
     ("This is a placeholder entry for … Do not publish", 0.55),
@@ -52,7 +52,7 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("404 not found", 0.9),
     ("the requested url was not found on this server", 0.7),
     ("500 Internal Server Error while rendering", 0.55),
-    ("Error 503 backend is temporarily unavailable try again later Trace", 0.5),
+    ("Error 503 … backend is temporarily unavailable try again later Trace", 0.5),
     ("Error 503 service unavailable", 0.8),
     ("Bad gateway upstream … timed out after 30 s id", 0.5),
     ("502 Bad Gateway", 0.8),
@@ -61,7 +61,7 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("Warning undefined variable in php on line", 0.7),
     ("Access denied You do not have permission to view … on this server Reference", 0.55),
     ("403 Forbidden", 0.9),
-    ("Too many requests from your network Please slow down and reload", 0.55),
+    ("Too many requests from your network … Please slow down and reload", 0.55),
     ("Sorry the entry … could not be loaded Code", 0.6),
     ("This revision of … has been deleted or moved log", 0.65),
     ("Diese Seite … wurde nicht gefunden Vorgang", 0.55),
@@ -74,7 +74,7 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("Bitte aktivieren Sie JavaScript um … zu lesen", 0.55),
     ("You need to turn on scripts in your browser to view this entry on", 0.55),
     ("Loading … if nothing happens activate Java Script", 0.55),
-    ("This site needs cookies and scripts id", 0.6),
+    ("This site needs cookies and scripts … id", 0.6),
     ("Your browser is not supported by the … viewer Ticket", 0.55),
     ("Checking your browser before opening … Ray", 0.6),
     ("Confirm you are human to continue to … Challenge", 0.55),
@@ -85,8 +85,8 @@ EXEMPLARS: tuple[tuple[str, float], ...] = (
     ("we use cookies accept all cookies", 0.65),
     ("javascript is disabled in your browser", 0.6),
 )
-#: Tokens per window, beyond those of the exemplar: room for names.
-SLACK = 14
+#: Tokens per window beyond those of the exemplar: room for names where it has "…", else for a stray sign or word.
+SLACK, CLOSE = 14, 2
 
 #: Unfilled places by form: braces, angle and percent tags, dollar, at, hash, underscore and percent names, printf and numbered places, bracketed orders and names in capitals.
 PLACE = regex.compile(
@@ -115,7 +115,7 @@ class Index:
             for t in tokens(text):
                 own[t] += 1
             weights = {t: c * idf(t) for t, c in own.items()}
-            self.rows.append((own, {t: idf(t) for t in own}, sum(weights.values()), need, sum(own.values()) + SLACK))
+            self.rows.append((own, {t: idf(t) for t in own}, sum(weights.values()), need, sum(own.values()) + (SLACK if "…" in text else CLOSE)))
             # a match must hold one of the rarest tokens: what the others weigh falls short of the threshold
             rest = sum(weights.values())
             for t in sorted(own, key=lambda t: (-weights[t], t)):
