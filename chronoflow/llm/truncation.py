@@ -1,16 +1,17 @@
 """Texts that stop before their sentence is complete.
 
-Labels are made, not given: values that end as sentences do are intact; cutting them at chance
-places, inside words or between them, with and without a mark, gives the positives; the intact ones,
-half of them without their final stop, are the negatives. A hashed logistic regression is fitted on
-closing characters, closing words (names and numbers reduced to their kind), punctuation and the
-distance to the field's limit, and scores every record.
+Labels are made, not given: values that end as sentences do (on a stop, or on a phrase that texts
+usually end on) are intact; cutting them at chance places, inside words or between them, with and
+without a mark, gives the positives; the intact ones, half of them without their final stop, are the
+negatives. A hashed logistic regression is fitted on closing characters, closing words (names and
+numbers reduced to their kind), punctuation and the distance to the field's limit, and scores every
+record.
 
 A source has a limit if its longest texts pile up: the longest five lengths are far denser than the
 twenty below them. Limits come from counts over all records. For the fit they are drawn at random, so
 that the model learns what a text at its limit means without having seen that source.
 
-The fit uses a sample of at most ``SAMPLE`` intact values, those of lowest hash; everything else
+The fit takes its intact values from at most ``SAMPLE`` texts, those of lowest hash; everything else
 covers all records.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from chronoflow.plans.staging import Stage
 
-#: Most intact values the model is fitted on, and the number of hashed weights.
-SAMPLE, WEIGHTS = 24_000, 1 << 18
+#: Most texts from which intact values are taken for the fit, and the number of hashed weights.
+SAMPLE, WEIGHTS = 30_000, 1 << 18
 #: Sources with a limit up to which their table is broadcast; beyond, it is joined by shuffle.
 MAX_BROADCAST = 50_000
 #: Probability from which a record counts as truncated.
@@ -99,6 +101,24 @@ def features(text: str, limit: int | None, known: frozenset[str]) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "replace")) & (WEIGHTS - 1) for f in out]
 
 
+def intact_values(texts: list[str]) -> list[str]:
+    """Texts that end as sentences do: on a stop or closing bracket, or on an established closing phrase.
+
+    A closing phrase is the last three words of several texts without a stop; it is established if
+    most texts that hold it end on it, which words before a chance cut never do.
+    """
+    words = regex.compile(r"[\p{L}\p{N}’'-]+")
+    split = [words.findall(t.lower()) for t in texts]
+    ended = [bool(ENDS.search(t)) and not MARKED.search(t) for t in texts]
+    closing = Counter(tuple(w[-3:]) for w, e, t in zip(split, ended, texts) if not e and len(w) > 5 and t[-1].isalnum())
+    closing = {g: n for g, n in closing.items() if n >= 5}
+    held: Counter = Counter()
+    for w in split:
+        held.update(closing.keys() & set(zip(w, w[1:], w[2:])))
+    usual = {g for g, n in closing.items() if n >= 0.7 * held[g]}
+    return [t for t, w, e in zip(texts, split, ended) if e or tuple(w[-3:]) in usual and t[-1].isalnum()]
+
+
 def fit(intact: list[str], seed: int = 7, rounds: int = 10) -> tuple[np.ndarray, frozenset[str]]:
     """(weights, known words) from intact values and their artificial cuts."""
     rnd = random.Random(seed)
@@ -170,13 +190,11 @@ def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LE
     to fit (fewer than 20) nothing is cut. An empty table gives no rows. Other columns are not read.
     """
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"), F.col(f"`{source}`").cast("string").alias("s")).where(F.length(F.trim("x")) > 0)
-    ended = narrow.where(F.col("x").rlike(r"([.!?][”\")]?|\))\s*$"))
-    hashed = ended.select("x", F.xxhash64("x", "k").alias("h"))
-    total = ended.count()
+    hashed = narrow.select("x", F.xxhash64("x", "k").alias("h"))
+    total = narrow.count()
     if total > 4 * sample:  # the lowest hashes lie far below this bound: only they are sorted
         hashed = hashed.where(F.col("h") < int(-(2**63) + 2**64 * (2 * sample / total)))
-    intact = [r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()]
-    intact = [t for t in intact if not MARKED.search(t)]
+    intact = intact_values([r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()])
     # one row per source with a limit
     limits = Stage(df.sparkSession, "truncation").write(field_limits(df, text, source), "limits")
     if limits.count() <= MAX_BROADCAST:
