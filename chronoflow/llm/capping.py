@@ -76,11 +76,11 @@ class CappedState:
         self.logged.append(trimmed.where("out").select("c", "t"))
         self.kept = stage.write(rest.unionByName(trimmed.where("not out").select("c", "s", "t")), "kept")
 
-    def displaced(self) -> DataFrame | None:
-        """Log of all records left out so far: c, t."""
-        log = None
+    def displaced(self) -> DataFrame:
+        """Log of all records left out so far: c, t. Empty if every contributor is within the cap."""
+        log = self.kept.where(F.lit(False)).select("c", "t")
         for part in self.logged:
-            log = part if log is None else log.unionByName(part)
+            log = log.unionByName(part)
         return log
 
 
