@@ -14,6 +14,8 @@ def classify(df: DataFrame, key: str, vector: str, prototypes: list[tuple[int, l
     The prototypes are a small stated set; all rows are held against them in batches, one matrix
     product each. Ties go to the lower theme. A null or zero vector has no theme.
     """
+    if not prototypes:  # nothing to be near to
+        return df.select(key, F.lit(None).cast("int").alias("theme"), F.lit(None).cast("double").alias("similarity"))
     themes = np.array([t for t, _ in prototypes])
     matrix = np.array([v for _, v in prototypes], np.float64)
     matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)

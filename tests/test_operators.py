@@ -122,6 +122,7 @@ def test_classify(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 2.0]), (3, None), (4, [0.0, 0.0])], "id int, v array<float>")
     got = {r.id: r.theme for r in classify(rows, "id", "v", [(7, [1.0, 0.0]), (9, [0.0, 1.0]), (9, [-1.0, 0.0])]).collect()}
     assert got == {1: 7, 2: 9, 3: None, 4: None}
+    assert {r.theme for r in classify(rows, "id", "v", []).collect()} == {None}
 
 
 def test_names():
