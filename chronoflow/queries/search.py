@@ -124,5 +124,5 @@ WITH a AS (SELECT row_id AS answer, [x::INTEGER % 20 + 1 FOR x IN regexp_extract
 SELECT answer, c AS passage FROM (SELECT answer, unnest(list_distinct(cited)) AS c FROM a)""")
 def q11_cited(t):
     """The passages that each answer cites by number."""
-    numbers = F.filter(F.slice(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)), 1, 3), lambda x: F.length(x) < 6)
+    numbers = F.filter(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)), lambda x: F.length(x) < 6)
     return t.published.where("text is not null").select(F.col("row_id").alias("answer"), F.explode(F.array_distinct(F.transform(numbers, lambda x: x.cast("int") % 20 + 1))).alias("passage"))
