@@ -59,3 +59,20 @@ def stratified(df: DataFrame, stratum: str, group: str, key: str, seed: str, quo
     rows = df.withColumn("r", r).withColumn("in_group", F.row_number().over(Window.partitionBy(stratum, group).orderBy("r", key)))
     tier = F.when(F.col("in_group") <= per_group, 0).otherwise(F.col("in_group"))
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(stratum).orderBy(tier, "r", key))).where(F.col("place") <= quota).drop("r", "in_group")
+
+
+def seeded_pairs(df: DataFrame, value: str, seed: str, least: int, quota: int, backward: float = 0.2) -> DataFrame:
+    """A seeded sample without repeats of pairs of distinct values at least ``least`` apart: ``a``, ``b``, ``place``.
+
+    Both orders of a pair are drawn alike; a backward draw (a > b) stays so with the chance ``backward``
+    and is turned round else, which leaves half that share backward. ``value`` holds each value once.
+    """
+    a, b = F.col("a"), F.col("b")
+    # the values are those of one axis (years): few enough to hold each against each
+    pairs = df.select(F.col(value).alias("a")).join(F.broadcast(df.select(F.col(value).alias("b"))), b - a >= least)
+    there, back = seeded_order(seed, a, b), seeded_order(seed, b, a)
+    stays = F.conv(F.substring(seeded_order(f"{seed}|back", b, a), 1, 8), 16, 10).cast("double") < backward * 2**32
+    draw = lambda x, y, r: F.struct(x.alias("a"), y.alias("b"), r.alias("r"))
+    drawn = F.when(stays, F.array(draw(a, b, there), draw(b, a, back))).otherwise(F.array(draw(a, b, F.least(there, back))))
+    first = pairs.select(F.explode(drawn).alias("x")).select("x.*").orderBy("r", "a", "b").limit(quota)
+    return first.select("a", "b", F.row_number().over(Window.orderBy("r", "a", "b")).alias("place"))

@@ -130,12 +130,8 @@ def t12_one_per_key(t):
 WITH y AS (SELECT DISTINCT year FROM published), p AS (SELECT a.year AS a, b.year AS b, md5('s3|' || a.year || '|' || b.year) AS r FROM y a JOIN y b ON b.year - a.year BETWEEN 5 AND 60)
 SELECT a, b, row_number() OVER (ORDER BY r, a, b)::INTEGER AS place FROM p ORDER BY r, a, b LIMIT 150""")
 def t13_pairs(t):
-    """A seeded sample of 150 pairs of years at least five apart (a sampling operator)."""
-    y = t.published.select("year").distinct()
-    # the later year of a pair lies at one of 56 distances: an equi-join
-    b = y.select(F.col("year").alias("b"), F.explode(F.sequence(F.lit(5), F.lit(60))).alias("d")).withColumn("a", F.col("b") - F.col("d"))
-    pairs = b.join(y.select(F.col("year").alias("a")), "a").select("a", "b", S.seeded_order("s3", F.col("a"), F.col("b")).alias("r")).orderBy("r", "a", "b").limit(150)
-    return pairs.select("a", "b", F.row_number().over(Window.orderBy("r", "a", "b")).alias("place"))
+    """A seeded sample of 150 pairs of years at least five apart, about a tenth of them backward (a sampling operator)."""
+    return S.seeded_pairs(t.published.select("year").distinct(), "year", "s3", 5, 150)
 
 
 @R.add(f"""

@@ -1,6 +1,8 @@
 """Queries over their whole job, on small tables and against plain Python."""
 
-from chronoflow.queries import search
+import hashlib
+
+from chronoflow.queries import search, selection
 
 
 def published(spark, folder, schema, rows):
@@ -12,3 +14,20 @@ def test_every_cited_number_counts(spark, tmp_path):
     d = published(spark, tmp_path, "row_id bigint, text string", [(1, "[1] a [2] b [3] c [4] d [5][4]"), (2, "none"), (3, None), (4, "1234567 and 21")])
     got = sorted((r.answer, r.passage) for r in search.QUERIES["q11_cited"](spark, d).collect())
     assert got == [(1, 2), (1, 3), (1, 4), (1, 5), (1, 6), (4, 2)]
+
+
+def test_pairs_of_any_distance_and_direction(spark, tmp_path):
+    years = [-570, -40, 3, 8, *range(1000, 2000, 37)]
+    d = published(spark, tmp_path, "year int", [(y,) for y in [*years, *years, None]])
+    md5 = lambda *x: hashlib.md5("|".join(map(str, x)).encode()).hexdigest()
+    first = {}
+    for a in years:
+        for b in years:
+            if abs(a - b) >= 5:
+                turned = a > b and int(md5("s3", "back", a, b)[:8], 16) >= 0.2 * 2**32
+                pair = (b, a) if turned else (a, b)
+                first[pair] = min(md5("s3", a, b), first.get(pair, "g"))
+    want = sorted(first, key=lambda p: (first[p], p))[:150]
+    got = [(r.a, r.b) for r in selection.QUERIES["t13_pairs"](spark, d).orderBy("place").collect()]
+    assert got == want and len(set(got)) == 150
+    assert max(b - a for a, b in got) > 60 and 0 < sum(a > b for a, b in got) < 40
