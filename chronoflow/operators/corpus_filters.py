@@ -85,6 +85,12 @@ CASCADE = (
     ("duplicate_line_chars", "duplicate_line_chars > 0.01"),
     ("line_breaks", "line_breaks > 0.3"),
 )
+#: Filters over the measures of repetition(), in the order of their stage.
+NGRAMS = (*((f"top_{n}", f"top_{n} > {most}") for n, most in TOP_NGRAMS.items()), *((f"repeated_{n}", f"repeated_{n} > {most}") for n, most in REPEATED_NGRAMS.items()))
+#: Fixed value: how the hosts on the block list end. The filter reads the host from ``source``.
+BLOCKED = ".invalid"
+#: The reference's whole cascade: the block list stands before the language, n-grams right after duplicate lines.
+WHOLE = (CASCADE[0], ("url", f"endswith(lower(source), '{BLOCKED}')"), *CASCADE[1:3], *NGRAMS, *CASCADE[3:])
 
 
 def measured(df: DataFrame, text: str) -> DataFrame:
@@ -93,38 +99,54 @@ def measured(df: DataFrame, text: str) -> DataFrame:
 
 
 def verdicts(df: DataFrame, text: str, cascade=CASCADE) -> DataFrame:
-    """Measures and ``verdict``: the first filter that fails, or pass."""
-    verdict = None
+    """Measures and ``verdict``: the first filter of the cascade that fails, or pass.
+
+    Measures of repetition() are taken if the cascade asks for them, of the rows no earlier filter decides.
+    """
+    rows, verdict, scanned = measured(df, text), F.when(F.lit(False), ""), False
     for name, condition in cascade:
-        verdict = F.when(F.expr(condition), name) if verdict is None else verdict.when(F.expr(condition), name)
-    return measured(df, text).withColumn("verdict", verdict.otherwise("pass"))
+        if name in dict(NGRAMS) and not scanned:
+            scanned = True
+            shares = F.arrow_udf(_shares, "array<double>")(F.when(verdict.isNull(), F.col(text)))
+            rows = rows.withColumn("shares", shares).withColumns({n: F.get("shares", i) for i, (n, _) in enumerate(NGRAMS)}).drop("shares")
+        verdict = verdict.when(F.expr(condition), name)
+    return rows.withColumn("verdict", verdict.otherwise("pass"))
+
+
+def _shares(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else _repetition(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
 
 def _repetition(text: str) -> list[float]:
     w = text.split()
     total = sum(map(len, w)) or 1
+    grams = lambda n: list(zip(*(w[i:] for i in range(n))))
+    chars = lambda g: sum(map(len, g))
     out = []
     for n in TOP_NGRAMS:
-        grams = Counter(" ".join(w[i : i + n]) for i in range(len(w) - n + 1))
-        top = max(grams.items(), key=lambda x: (x[1], len(x[0])), default=None)
-        out.append(round((len(top[0]) - n + 1) * top[1] / total, 6) if top and top[1] > 1 else 0.0)
-    for n in REPEATED_NGRAMS:
-        seen, chars, i = set(), 0, 0
-        while i + n <= len(w):
-            g = " ".join(w[i : i + n])
-            if g in seen:
-                chars += len(g) - n + 1
+        counts = Counter(grams(n))
+        most = max(counts.values(), default=1)
+        if most == 1:  # then no longer n-gram is repeated either
+            break
+        out.append(round(max(chars(g) for g, c in counts.items() if c == most) * most / total, 6))
+    for n in REPEATED_NGRAMS if len(out) == len(TOP_NGRAMS) else ():
+        seen, repeated, i, found = set(), 0, 0, grams(n)
+        while i < len(found):
+            if found[i] in seen:
+                repeated += chars(found[i])
                 i += n
             else:
-                seen.add(g)
+                seen.add(found[i])
                 i += 1
-        out.append(round(chars / total, 6))
-    return out
+        if not repeated:
+            break
+        out.append(round(repeated / total, 6))
+    return out + [0.0] * (len(NGRAMS) - len(out))
 
 
 def repetition(df: DataFrame, key: str, text: str) -> DataFrame:
     """Shares of characters in the most frequent 2- to 4-gram and in repeated 5- to 10-grams of each text."""
-    names = [f"top_{n}" for n in TOP_NGRAMS] + [f"repeated_{n}" for n in REPEATED_NGRAMS]
+    names = [n for n, _ in NGRAMS]
     narrow = df.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("x"))
 
     def run(batches):
@@ -134,7 +156,7 @@ def repetition(df: DataFrame, key: str, text: str) -> DataFrame:
 
     kind = narrow.schema["k"].dataType.simpleString()
     out = narrow.mapInArrow(run, f"k {kind}, " + ", ".join(f"{n} double" for n in names)).withColumnRenamed("k", key)
-    failed = None
-    for n, most in [*((f"top_{n}", m) for n, m in TOP_NGRAMS.items()), *((f"repeated_{n}", m) for n, m in REPEATED_NGRAMS.items())]:
-        failed = F.when(F.col(n) > most, n) if failed is None else failed.when(F.col(n) > most, n)
+    failed = F.when(F.lit(False), "")
+    for n, condition in NGRAMS:
+        failed = failed.when(F.expr(condition), n)
     return out.withColumn("verdict", failed.otherwise("pass"))

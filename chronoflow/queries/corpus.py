@@ -52,7 +52,7 @@ SQL_VERDICT = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in G.CASCADE) +
 @R.add(f"{SQL_ALL} SELECT doc_id, {SQL_VERDICT} AS verdict FROM g")
 def g01_verdicts(t):
     """The first filter that each document fails."""
-    return G.verdicts(t.documents, "text").select("doc_id", "verdict")
+    return G.verdicts(t.documents, "text", G.WHOLE).select("doc_id", "verdict")
 
 
 @R.add("SELECT doc_id, trim(coalesce(text, ''), chr(32) || chr(9) || chr(13) || chr(10) || chr(12)) = '' AS empty FROM documents")
@@ -110,14 +110,14 @@ def g06_repetition(t):
 @R.add(f"{SQL_ALL}, v AS (SELECT kind, {SQL_VERDICT} AS verdict FROM g) SELECT kind, count(*) AS n, round(avg((verdict = 'pass')::INTEGER), 6) AS rate, mode(verdict ORDER BY verdict) FILTER (verdict <> 'pass') IS NOT NULL AS some_fail FROM v GROUP BY kind")
 def a21_pass_rates(t):
     """Share of documents of each kind that pass all filters."""
-    v = G.verdicts(t.documents, "text")
+    v = G.verdicts(t.documents, "text", G.WHOLE)
     return v.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("verdict") == "pass").cast("int")), 6).alias("rate"), (F.count_if(F.col("verdict") != "pass") > 0).alias("some_fail"))
 
 
 @R.add(f"{SQL_ALL} SELECT {SQL_VERDICT} AS verdict, count(*) AS n FROM g GROUP BY 1")
 def a21_failure_codes(t):
     """Documents per verdict."""
-    return G.verdicts(t.documents, "text").groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+    return G.verdicts(t.documents, "text", G.WHOLE).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
 PROTOTYPES = "SELECT label, embedding FROM (SELECT label, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings) WHERE k <= 4"
