@@ -90,9 +90,9 @@ SLACK, CLOSE = 14, 2
 
 #: Unfilled places by form: braces, angle and percent tags, dollar, at, hash, underscore and percent names, printf and numbered places, bracketed orders and names in capitals.
 PLACE = regex.compile(
-    r"\{\{\{?[^{}]{0,60}\}?\}\}|\{%[^%]{1,60}%\}|<%=?[^%]{0,60}%>|<<\w[\w. ]{0,40}>>|\$\{[^}]{1,60}\}|@@\w[\w.]*@@|(?<!\S)#\w[\w.]*#|\b__\w[\w.]*__\b|__\w[\w.]*__"
-    r"|%[A-Za-z_][\w.]*%|(?<![\w%])%[sd]\b|\{\d+\}|\{[A-Za-z_][\w.]*\}|\[(?i:insert|add|enter|your)\b[^\]]{0,60}\]|\[[A-Z][A-Z_0-9. ]{2,}\]|\[\w+_\w+\]|<(?:insert|your|name|date|place)[^<>]{0,40}>"
-    r"|\{\{\{?[\w.|]+$|\{%\s*[\w.]*\s*$|<%=?\s*[\w.]*\s*$|<<[\w.]+$|\$\{[\w.]*$|@@\w[\w.]*$|\[(?i:insert)\b[^\]]{0,60}$",
+    r"\{\{\{?[^{}]*\}?\}\}|\{%[^%]+%\}|<%=?[^%]*%>|<<\w[\w. ]*>>|\$\{[^}]+\}|@@\w[\w.]*@@|(?<!\S)#\w[\w.]*#|\b__\w[\w.]*__\b|__\w[\w.]*__"
+    r"|%[A-Za-z_][\w.]*%|(?<![\w%])%[sd]\b|\{\d+\}|\{[A-Za-z_][\w.]*\}|\[(?i:insert|add|enter|your)\b[^\]]*\]|\[[A-Z][A-Z_0-9. ]{2,}\]|\[\w+_\w+\]|<(?:insert|your|name|date|place)[^<>]*>"
+    r"|\{\{\{?[\w.|]+$|\{%\s*[\w.]*\s*$|<%=?\s*[\w.]*\s*$|<<[\w.]+$|\$\{[\w.]*$|@@\w[\w.]*$|\[(?i:insert)\b[^\]]*$",
 )
 WORD = regex.compile(r"⟨place⟩|[\p{L}\p{N}]+")
 
