@@ -7,8 +7,8 @@ negatives. A hashed logistic regression is fitted on closing characters, closing
 numbers reduced to their kind), punctuation and the distance to the field's limit, and scores every
 record.
 
-A source has a limit if its longest texts pile up: the longest five lengths are far denser than the
-twenty below them. Limits come from counts over all records. For the fit they are drawn at random, so
+A source has a limit if its texts pile up at a length, few being longer: five lengths are far denser
+than the twenty below and the twenty above them. Limits come from counts over all records. For the fit they are drawn at random, so
 that the model learns what a text at its limit means without having seen that source.
 
 The fit takes its intact values from at most ``SAMPLE`` texts, those of lowest hash; everything else
@@ -24,7 +24,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoflow.plans.staging import Stage
@@ -175,12 +175,18 @@ def fit(intact: list[str], seed: int = 7, rounds: int = 10) -> tuple[np.ndarray,
 
 
 def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
-    """s, limit: sources whose texts pile up at their greatest length (counts over all records)."""
+    """s, limit: sources whose texts pile up at a length (counts over all records).
+
+    Five lengths are a pile if they are far denser than the twenty on either side and hold more texts
+    than all lengths beyond, so longer exceptions leave a source its limit. The greatest length of a
+    pile that is no stray (a fiftieth of it at least) is the limit.
+    """
     lengths = df.select(F.col(f"`{source}`").alias("s"), F.length(F.col(f"`{text}`")).alias("n")).where("s is not null and n > 0").groupBy("s", "n").agg(F.count(F.lit(1)).alias("c"))
-    top = lengths.groupBy("s").agg(F.max("n").alias("m"))
-    near = lengths.join(top, "s").where("n > m - 25")
-    piled = near.groupBy("s", "m").agg(F.sum(F.when(F.col("n") > F.col("m") - 5, F.col("c")).otherwise(0)).alias("at"), F.sum(F.when(F.col("n") <= F.col("m") - 5, F.col("c")).otherwise(0)).alias("below"))
-    return piled.where("at >= 10 and at / 5 > 3 * below / 20").select("s", F.col("m").alias("limit"))
+    w = Window.partitionBy("s").orderBy("n")
+    held = lambda first, last: F.coalesce(F.sum("c").over(w.rangeBetween(first, last)), F.lit(0))
+    near = lengths.select("s", "n", "c", held(-4, 0).alias("at"), held(-24, -5).alias("below"), held(1, 20).alias("above"), held(1, Window.unboundedFollowing).alias("beyond"))
+    piled = near.where("at >= 10 and at / 5 > 3 * below / 20 and at / 5 > 3 * above / 20 and beyond < at and c >= 0.02 * at")
+    return piled.groupBy("s").agg(F.max("n").alias("limit"))
 
 
 def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:

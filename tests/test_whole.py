@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 from chronoflow.llm import q_residue
+from chronoflow.llm.truncation import field_limits
 from chronoflow.queries import corpus, search, selection
 
 
@@ -89,3 +90,10 @@ def test_long_unfilled_places(spark, tmp_path):
     d = published(spark, tmp_path, "row_id bigint, text string", list(enumerate(bad + good)))
     assert sorted(r.row_id for r in q_residue.QUERIES["p4_found"](spark, d).collect()) == list(range(len(bad)))
     assert sorted(r.row_id for r in q_residue.QUERIES["p4_clean"](spark, d).select("row_id").collect()) == [len(bad), len(bad) + 1]
+
+
+def test_limit_below_longer_exceptions(spark):
+    spread = [*range(20, 118, 2)]
+    lengths = {"piled": spread + [120] * 30, "one longer": spread + [120] * 30 + [300], "some longer": spread + [120] * 30 + [131, 150, 150, 400], "stray": spread + [120] * 60 + [123], "even": spread * 3, "small": [20, 40, 120]}
+    rows = spark.createDataFrame([(s, "x" * n) for s, ns in lengths.items() for n in ns], "s string, x string")
+    assert {r.s: r.limit for r in field_limits(rows, "x", "s").collect()} == dict.fromkeys(["piled", "one longer", "some longer", "stray"], 120)
