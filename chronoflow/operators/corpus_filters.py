@@ -6,6 +6,7 @@ the repetition measures over word n-grams need a scan with memory and run on Arr
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import pyarrow as pa
@@ -117,6 +118,10 @@ def _shares(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else _repetition(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
 
+def _half_up(x: float) -> float:
+    return math.floor(x * 1e6 + 0.5) / 1e6
+
+
 def _repetition(text: str) -> list[float]:
     w = text.split()
     total = sum(map(len, w)) or 1
@@ -128,7 +133,7 @@ def _repetition(text: str) -> list[float]:
         most = max(counts.values(), default=1)
         if most == 1:  # then no longer n-gram is repeated either
             break
-        out.append(round(max(chars(g) for g, c in counts.items() if c == most) * most / total, 6))
+        out.append(_half_up(max(chars(g) for g, c in counts.items() if c == most) * most / total))
     for n in REPEATED_NGRAMS if len(out) == len(TOP_NGRAMS) else ():
         seen, repeated, i, found = set(), 0, 0, grams(n)
         while i < len(found):
@@ -140,7 +145,7 @@ def _repetition(text: str) -> list[float]:
                 i += 1
         if not repeated:
             break
-        out.append(round(repeated / total, 6))
+        out.append(_half_up(repeated / total))
     return out + [0.0] * (len(NGRAMS) - len(out))
 
 

@@ -46,10 +46,22 @@ SQL_MEASURES = {
     "sentences": r"""len(regexp_extract_all(array_to_string(kept, chr(10)), '[.!?]+(?:[ \n”"]|$)'))::INTEGER""",
 }
 SQL_ALL = f"WITH {SQL_BASE}, g AS (SELECT doc_id, kind, lang, {', '.join(f'{e} AS {n}' for n, e in SQL_MEASURES.items())} FROM c)"
-SQL_VERDICT = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in G.CASCADE) + " ELSE 'pass' END"
-
-
-@R.add(f"{SQL_ALL} SELECT doc_id, {SQL_VERDICT} AS verdict FROM g")
+SQL_VERDICT = "CASE " + " ".join(f"WHEN {c.replace('endswith(', 'ends_with(')} THEN '{n}'" for n, c in G.WHOLE) + " ELSE 'pass' END"
+#: n-grams of the words between white space; repeated ones are skipped as a whole, so the fold goes over the places where a gram stands again.
+SQL_NGRAMS = r"""
+nw AS (SELECT doc_id, regexp_extract_all(text, '[^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+') AS w FROM documents WHERE text IS NOT NULL),
+nt AS (SELECT doc_id, w, greatest(coalesce(list_sum(list_transform(w, lambda s: length(s))), 0), 1) AS total FROM nw),
+np AS (SELECT doc_id, w, total, unnest(range(1, len(w) + 1)) AS i FROM nt),
+ng AS (SELECT doc_id, total, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram, length(array_to_string(w[i:i + n - 1], '')) AS size FROM np, (SELECT unnest(range(2, 11)) AS n) WHERE i + n - 1 <= len(w)),
+nc AS (SELECT doc_id, any_value(total) AS total, n, gram, any_value(size) AS size, count(*) AS c, list(i ORDER BY i) AS pos FROM ng GROUP BY doc_id, n, gram HAVING count(*) > 1),
+top AS (SELECT doc_id, n, round(max_by(size, c * 1000000 + size) * max(c) / any_value(total), 6) AS share FROM nc WHERE n <= 4 GROUP BY doc_id, n),
+again AS (SELECT doc_id, n, total, list({'i': i, 'size': size, 'pos': pos} ORDER BY i) AS seen FROM (SELECT doc_id, n, total, size, pos, unnest(pos[2:]) AS i FROM nc WHERE n > 4) GROUP BY doc_id, n, total),
+folded AS (SELECT doc_id, n, round(list_reduce(seen, lambda a, x: CASE WHEN (len(a.s) = 0 OR a.s[-1] + n <= x.i) AND len(list_filter(x.pos, lambda j: j < x.i AND NOT list_bool_or(list_transform(a.s, lambda b: j > b AND j < b + n)) IS TRUE)) > 0 THEN {'s': list_append(a.s, x.i), 'c': a.c + x.size} ELSE a END, {'s': []::BIGINT[], 'c': 0::BIGINT}).c / total, 6) AS share FROM again),
+wide AS (SELECT doc_id, """ + ", ".join(f"coalesce(max(share) FILTER (n = {n.split('_')[1]}), 0) AS {n}" for n, _ in G.NGRAMS) + """ FROM documents LEFT JOIN (SELECT * FROM top UNION ALL SELECT * FROM folded) USING (doc_id) GROUP BY doc_id)"""
+SQL_WHOLE = f"{SQL_ALL.replace('SELECT doc_id, kind, lang,', 'SELECT doc_id, kind, lang, source,')}, {SQL_NGRAMS}, v AS (SELECT doc_id, kind, {SQL_VERDICT} AS verdict FROM g JOIN wide USING (doc_id))"
+
+
+@R.add(f"{SQL_WHOLE} SELECT doc_id, verdict FROM v")
 def g01_verdicts(t):
     """The first filter that each document fails."""
     return G.verdicts(t.documents, "text", G.WHOLE).select("doc_id", "verdict")
@@ -101,20 +113,20 @@ for _name, _column, _condition, _doc in (
     _measure(_name, _column, _condition, _doc)
 
 
-@R.add()
+@R.add(f"WITH {SQL_NGRAMS} SELECT *, CASE {' '.join(f"WHEN {c} THEN '{n}'" for n, c in G.NGRAMS)} ELSE 'pass' END AS verdict FROM wide")
 def g06_repetition(t):
     """Shares of characters in the most frequent and in repeated word n-grams (g06 and g07)."""
     return G.repetition(t.documents, "doc_id", "text")
 
 
-@R.add(f"{SQL_ALL}, v AS (SELECT kind, {SQL_VERDICT} AS verdict FROM g) SELECT kind, count(*) AS n, round(avg((verdict = 'pass')::INTEGER), 6) AS rate, mode(verdict ORDER BY verdict) FILTER (verdict <> 'pass') IS NOT NULL AS some_fail FROM v GROUP BY kind")
+@R.add(f"{SQL_WHOLE} SELECT kind, count(*) AS n, round(avg((verdict = 'pass')::INTEGER), 6) AS rate, mode(verdict ORDER BY verdict) FILTER (verdict <> 'pass') IS NOT NULL AS some_fail FROM v GROUP BY kind")
 def a21_pass_rates(t):
     """Share of documents of each kind that pass all filters."""
     v = G.verdicts(t.documents, "text", G.WHOLE)
     return v.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("verdict") == "pass").cast("int")), 6).alias("rate"), (F.count_if(F.col("verdict") != "pass") > 0).alias("some_fail"))
 
 
-@R.add(f"{SQL_ALL} SELECT {SQL_VERDICT} AS verdict, count(*) AS n FROM g GROUP BY 1")
+@R.add(f"{SQL_WHOLE} SELECT verdict, count(*) AS n FROM v GROUP BY verdict")
 def a21_failure_codes(t):
     """Documents per verdict."""
     return G.verdicts(t.documents, "text", G.WHOLE).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))

@@ -120,7 +120,7 @@ def q10_passages(t):
 
 
 @R.add("""
-WITH a AS (SELECT row_id AS answer, [x::INTEGER % 20 + 1 FOR x IN regexp_extract_all(text, '[0-9]+')[1:3] IF length(x) < 6] AS cited FROM published WHERE text IS NOT NULL)
+WITH a AS (SELECT row_id AS answer, [x::INTEGER % 20 + 1 FOR x IN regexp_extract_all(text, '[0-9]+') IF length(x) < 6] AS cited FROM published WHERE text IS NOT NULL)
 SELECT answer, c AS passage FROM (SELECT answer, unnest(list_distinct(cited)) AS c FROM a)""")
 def q11_cited(t):
     """The passages that each answer cites by number."""

@@ -127,7 +127,9 @@ def t12_one_per_key(t):
 
 
 @R.add("""
-WITH y AS (SELECT DISTINCT year FROM published), p AS (SELECT a.year AS a, b.year AS b, md5('s3|' || a.year || '|' || b.year) AS r FROM y a JOIN y b ON b.year - a.year BETWEEN 5 AND 60)
+WITH y AS (SELECT DISTINCT year FROM published WHERE year IS NOT NULL),
+d AS (SELECT a.year AS a, b.year AS b, md5('s3|' || a.year || '|' || b.year) AS r, a.year > b.year AND ('0x' || left(md5('s3|back|' || a.year || '|' || b.year), 8))::BIGINT >= 0.2 * 4294967296 AS turned FROM y a JOIN y b ON abs(b.year - a.year) >= 5),
+p AS (SELECT CASE WHEN turned THEN b ELSE a END AS a, CASE WHEN turned THEN a ELSE b END AS b, min(r) AS r FROM d GROUP BY 1, 2)
 SELECT a, b, row_number() OVER (ORDER BY r, a, b)::INTEGER AS place FROM p ORDER BY r, a, b LIMIT 150""")
 def t13_pairs(t):
     """A seeded sample of 150 pairs of years at least five apart, about a tenth of them backward (a sampling operator)."""
