@@ -1,14 +1,26 @@
 """Template residue and error-page text, by TF-IDF containment of labelled exemplars.
 
 Labelled exemplars of residue (unfilled places, filler and draft text, error pages, notices that
-scripts, cookies, a login or a check is needed) are kept in an inverted index from token to
-exemplars. A text's tokens retrieve the exemplars of which they hold a heavy token, without which the
-threshold can't be met; for each, the
-share of the exemplar's TF-IDF mass that lies within one window of the text is its containment.
-Texts in which a window covers an exemplar to its threshold or more are excluded.
-
-Document frequencies come from the whole table: one pass counts the index's tokens (a few hundred),
-a second scores every text. Unfilled places are tokens by their form, whatever their name.
+scripts, cookies, a login or a check is needed; ``residue_labels``) are kept in an inverted index
+from token to exemplars. A text's tokens retrieve the exemplars of which they hold a heavy token,
+without which the threshold can't be met. For each, the share of the exemplar's TF-IDF mass that
+lies within one window of the text is its containment. Texts with a containment of the threshold or
+more are excluded.
+
+Tokens are words and, where signs stand with them, the form of what stands between blanks: letters
+as a, capitals as A, numbers as 0, so that ``${ruler}`` gives "ruler" and "${a}". Unfilled places are
+exemplars like the others: a form counts for what the corpus makes it weigh.
+
+The mass that containment is measured against is at least ``LEAST`` (what a token weighs that one
+text in a hundred holds), so tokens that the corpus uses freely decide nothing alone, and at most
+that of ``PASSAGE`` mean tokens of the exemplar, so a list of filler words need not stand whole.
+
+There is one threshold for all exemplars. It is learned on each run with the corpus's weights: every
+labelled text is scored against an index without it, every labelled look-alike against the whole
+index, and the threshold lies where both are told apart best (see ``learn``).
+
+Document frequencies come from the whole table: one pass counts the index's tokens (under two
+thousand), a second scores every text.
 """
 
 from __future__ import annotations
@@ -22,117 +34,88 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Exemplars and the share of their mass a window must hold. "…" stands for what varies.
-EXEMPLARS: tuple[tuple[str, float], ...] = (
-    # unfilled places
-    ("⟨place⟩", 1.0),
-    ("[object Object]", 1.0),
-    ("undefined undefined", 1.0),
-    ("undefined undefined … born NaN", 0.6),
-    ("null null", 1.0),
-    ("XXXX … elected … with NN votes", 0.6),
-    ("XXXX XXXX", 1.0),
-    ("DD Month YYYY Name of ruler", 0.6),
-    ("Entry title Entry body Entry date", 0.6),
-    ("TODO write up what … did in … and in", 0.6),
-    ("TODO add text", 0.8),
-    ("TBD TBD", 1.0),
-    ("FIXME", 1.0),
-    # filler and draft text
-    ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum …", 0.033),
-    ("asdf asdf … qwer … test test", 0.6),
-    ("Sample text for … replace this with a sentence about … before publishing to", 0.55),
-    ("Your text about … goes here Draft by … desk", 0.55),
-    ("This is a placeholder entry for … Do not publish", 0.55),
-    ("insert text here", 0.8),
-    ("content coming soon check back later", 0.6),
-    ("this page is under construction", 0.8),
-    # error pages
-    ("404 the page … was not found on this server Reference", 0.6),
-    ("404 not found", 0.9),
-    ("the requested url was not found on this server", 0.7),
-    ("500 Internal Server Error while rendering", 0.55),
-    ("Error 503 … backend is temporarily unavailable try again later Trace", 0.5),
-    ("Error 503 service unavailable", 0.8),
-    ("Bad gateway upstream … timed out after 30 s id", 0.5),
-    ("502 Bad Gateway", 0.8),
-    ("504 gateway timeout", 0.8),
-    ("Fatal error Uncaught exception in var app … php on line", 0.5),
-    ("Warning undefined variable in php on line", 0.7),
-    ("Access denied You do not have permission to view … on this server Reference", 0.55),
-    ("403 Forbidden", 0.9),
-    ("Too many requests from your network … Please slow down and reload", 0.55),
-    ("Sorry the entry … could not be loaded Code", 0.6),
-    ("This revision of … has been deleted or moved log", 0.65),
-    ("Diese Seite … wurde nicht gefunden Vorgang", 0.55),
-    ("page introuvable erreur 404", 0.7),
-    ("página no encontrada", 0.8),
-    # notices that scripts, cookies, a login or a check is needed
-    ("Please enable JavaScript to read … Request", 0.6),
-    ("please enable javascript and cookies to continue", 0.6),
-    ("Veuillez activer JavaScript pour lire", 0.55),
-    ("Bitte aktivieren Sie JavaScript um … zu lesen", 0.55),
-    ("You need to turn on scripts in your browser to view this entry on", 0.55),
-    ("Loading … if nothing happens activate Java Script", 0.55),
-    ("This site needs cookies and scripts … id", 0.6),
-    ("Your browser is not supported by the … viewer Ticket", 0.55),
-    ("Checking your browser before opening … Ray", 0.6),
-    ("Confirm you are human to continue to … Challenge", 0.55),
-    ("Session for … expired log in again to continue reading about", 0.5),
-    ("please log in to continue reading", 0.6),
-    ("sign in to continue", 0.9),
-    ("verify you are a human", 0.75),
-    ("we use cookies accept all cookies", 0.65),
-    ("javascript is disabled in your browser", 0.6),
-)
+from chronoflow.llm import residue_labels as L
+
 #: Tokens per window beyond those of the exemplar: room for names where it has "…", else for a stray sign or word.
-SLACK, CLOSE = 14, 2
+SLACK, CLOSE = 14, 1
+#: Least mass of an exemplar, and most, in mean tokens of it.
+LEAST, PASSAGE = math.log(100), 7
+#: Steps of the threshold.
+GRID = 100
+
+CHUNK = regex.compile(r"[\p{L}\p{N}_{}\[\]<>%$@#|=]+(?:\.[\p{L}\p{N}_]+[\p{L}\p{N}_{}\[\]<>%$@#|=]*)*")
+WORD = regex.compile(r"[\p{L}\p{N}]+")
+NAME = regex.compile(r"[\p{L}\p{N}]+(?:[_.]+[\p{L}\p{N}]+)*")
+
+
+def _form(m: regex.Match) -> str:
+    x = m.group()
+    one = "0" if x.isdigit() else "A" if x.isupper() else "a"
+    return f"{one}_{one}" if "_" in x else one
 
-#: Unfilled places by form: braces, angle and percent tags, dollar, at, hash, underscore and percent names, printf and numbered places, bracketed orders and names in capitals.
-PLACE = regex.compile(
-    r"\{\{\{?[^{}]*\}?\}\}|\{%[^%]+%\}|<%=?[^%]*%>|<<\w[\w. ]*>>|\$\{[^}]+\}|@@\w[\w.]*@@|(?<!\S)#\w[\w.]*#|\b__\w[\w.]*__\b|__\w[\w.]*__"
-    r"|%[A-Za-z_][\w.]*%|(?<![\w%])%[sd]\b|\{\d+\}|\{[A-Za-z_][\w.]*\}|\[(?i:insert|add|enter|your)\b[^\]]*\]|\[[A-Z][A-Z_0-9. ]{2,}\]|\[\w+_\w+\]|<(?:insert|your|name|date|place)[^<>]*>"
-    r"|\{\{\{?[\w.|]+$|\{%\s*[\w.]*\s*$|<%=?\s*[\w.]*\s*$|<<[\w.]+$|\$\{[\w.]*$|@@\w[\w.]*$|\[(?i:insert)\b[^\]]*$",
-)
-WORD = regex.compile(r"⟨place⟩|[\p{L}\p{N}]+")
+
+@functools.lru_cache(50_000)
+def _chunk(chunk: str) -> tuple[str, ...]:
+    words = tuple(w.lower() for w in WORD.findall(chunk))
+    if chunk.isalnum():
+        return words
+    form = NAME.sub(_form, chunk)
+    return words + (form,) if form.strip("aA0") not in ("", "_", ".") else words
 
 
 def tokens(text: str) -> list[str]:
-    """Words in small letters; an unfilled place is one token whatever its name."""
-    return WORD.findall(PLACE.sub(" ⟨place⟩ ", text).lower())
+    """Words in small letters, and forms of what signs stand with."""
+    return [t for chunk in CHUNK.findall(text) for t in _chunk(chunk)]
+
+
+def exemplar_tokens(text: str) -> list[str]:
+    """Tokens of an exemplar: "…" or NAME among signs stands for any name, of which only the form counts."""
+    out = []
+    for chunk in regex.findall(r"\S+", text):
+        if regex.search(r"…|NAME", chunk) and regex.search(r"[{}\[\]<>%$@#_|=]", chunk):
+            out += [t for t in tokens(chunk.replace("…", "qz")) if t not in ("qz", "name")]
+        else:
+            out += tokens(chunk.replace("…", " "))
+    return out
 
 
 class Index:
-    """Inverted index of the exemplars with the weights a corpus gives their tokens."""
+    """Inverted index of exemplars with the weights a corpus gives their tokens; ``need`` is the threshold."""
 
-    def __init__(self, exemplars: tuple[tuple[str, float], ...], frequency: dict[str, int], texts: int):
+    def __init__(self, exemplars: tuple[str, ...], frequency: dict[str, int], texts: int, need: float):
         idf = lambda t: math.log((texts + 1) / (frequency.get(t, 0) + 1)) + 0.1
-        self.rows = []
+        least = min(LEAST, 0.5 * math.log(texts + 1))
+        self.exemplars, self.rows = exemplars, []
         self.lists: dict[str, list[int]] = defaultdict(list)
         self.heads: dict[str, list[int]] = defaultdict(list)
-        for n, (text, need) in enumerate(exemplars):
+        for n, text in enumerate(exemplars):
             own = defaultdict(int)
-            for t in tokens(text):
+            for t in exemplar_tokens(text):
                 own[t] += 1
             weights = {t: c * idf(t) for t, c in own.items()}
-            self.rows.append((own, {t: idf(t) for t in own}, sum(weights.values()), need, sum(own.values()) + (SLACK if "…" in text else CLOSE)))
-            # a match must hold one of the rarest tokens: what the others weigh falls short of the threshold
-            rest = sum(weights.values())
+            size, whole = sum(own.values()), sum(weights.values())
+            mass = max(least, min(whole, whole / max(size, 1) * PASSAGE))
+            width = min(size, PASSAGE if size > 4 * PASSAGE else size) + (SLACK if "…" in text else CLOSE)
+            self.rows.append((own, {t: idf(t) for t in own}, mass, width))
+            # a match must hold one of the heaviest tokens: what the others weigh falls short of the threshold
+            rest = whole
             for t in sorted(own, key=lambda t: (-weights[t], t)):
-                if rest >= need * sum(weights.values()) - 1e-9:
+                if rest >= need * mass - 1e-9:
                     self.heads[t].append(n)
                 rest -= weights[t]
                 self.lists[t].append(n)
 
-    def best(self, text: str) -> tuple[float, int]:
-        """(containment over threshold, exemplar) of the best window; 1 or more is a match."""
+    def best(self, text: str, without: int = -1) -> tuple[float, int]:
+        """(containment, exemplar) of the best window, below the threshold only as far as it was looked for."""
         found = tokens(text)
         hits = [(i, t) for i, t in enumerate(found) if t in self.lists]
         best, which = 0.0, -1
         for n in sorted({n for _, t in hits if t in self.heads for n in self.heads[t]}):
-            own, idf, mass, need, width = self.rows[n]
-            places = [(i, t) for i, t in hits if t in own]
+            if n == without:
+                continue
+            own, idf, mass, width = self.rows[n]
             first, held, inside = 0, 0.0, defaultdict(int)
+            places = [(i, t) for i, t in hits if t in own]
             for i, t in places:
                 inside[t] += 1
                 if inside[t] <= own[t]:
@@ -143,21 +126,43 @@ class Index:
                         held -= idf[out]
                     inside[out] -= 1
                     first += 1
-                if held / mass / need > best:
-                    best, which = held / mass / need, n
-        return best, which
+                if held / mass > best:
+                    best, which = held / mass, n
+        return min(best, 1.0), which
+
+
+def flat(labels: dict[str, tuple[str, ...]]) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(text for texts in labels.values() for text in texts))
+
+
+def vocabulary(exemplars: tuple[str, ...]) -> frozenset[str]:
+    return frozenset(t for text in exemplars for t in exemplar_tokens(text))
+
+
+def held_out(exemplars: tuple[str, ...], frequency: dict[str, int], texts: int) -> list[float]:
+    """Containment of every labelled text in the best exemplar but itself. Ways to write places, which have nothing in common, are left out."""
+    index = Index(exemplars, frequency, texts, 0.0)
+    return [index.best(text, n)[0] for n, text in enumerate(exemplars) if not regex.search(r"[{}\[\]<>%$@#_|=]", text)]
 
 
-def vocabulary(exemplars: tuple[tuple[str, float], ...]) -> frozenset[str]:
-    return frozenset(t for text, _ in exemplars for t in tokens(text))
+def learn(exemplars: tuple[str, ...], lookalikes: tuple[str, ...], frequency: dict[str, int], texts: int) -> float:
+    """The threshold with the fewest errors, as shares of held-out residue and of look-alikes; the middle of the best."""
+    index = Index(exemplars, frequency, texts, 0.0)
+    good = [index.best(x)[0] for x in lookalikes]
+    bad = held_out(exemplars, frequency, texts)
+    errors = [sum(s < t for s in bad) / len(bad) + sum(s >= t for s in good) / max(len(good), 1) for t in (k / GRID for k in range(1, GRID + 1))]
+    best = [k for k, e in enumerate(errors, 1) if e <= min(errors) + 1e-9]
+    return best[len(best) // 2] / GRID
 
 
-def residue(df: DataFrame, key: str, text: str, exemplars: tuple[tuple[str, float], ...] = EXEMPLARS, least: float = 1.0) -> DataFrame:
-    """Rows that are residue: ``key``, ``exemplar`` and ``coverage`` (containment over its threshold).
+def residue(df: DataFrame, key: str, text: str, labels: dict[str, tuple[str, ...]] | None = None, lookalikes: tuple[str, ...] = L.LOOKALIKES, threshold: float | None = None) -> DataFrame:
+    """Rows that are residue: ``key``, ``exemplar`` and ``coverage`` (its containment).
 
-    Null, empty and wordless texts give no row; repeated rows give one each; an empty table gives
-    none. Whole texts are scored, however long; other columns are not read.
+    The threshold is learned from the labels unless one is given. Null, empty and wordless texts give
+    no row; repeated rows give one each; an empty table gives none. Whole texts are scored, however
+    long; other columns are not read.
     """
+    exemplars = flat(labels if labels is not None else L.labelled())
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"))
     words = vocabulary(exemplars)
 
@@ -174,17 +179,18 @@ def residue(df: DataFrame, key: str, text: str, exemplars: tuple[tuple[str, floa
     # as many rows as the exemplars have tokens
     frequency = {r.t: r.n for r in narrow.select("x").mapInArrow(count, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n")).collect()}
     total = frequency.pop("", 0)
+    need = threshold if threshold is not None else learn(exemplars, lookalikes, frequency, total)
 
     def run(batches):
-        index = _index(exemplars, tuple(sorted(frequency.items())), total)
+        index = _index(exemplars, tuple(sorted(frequency.items())), total, need)
         for batch in batches:
             rows, which, coverage = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 if t:
                     score, n = index.best(t)
-                    if score >= least - 1e-9:
+                    if score >= need - 1e-9:
                         rows.append(i)
-                        which.append(exemplars[n][0])
+                        which.append(exemplars[n])
                         coverage.append(score)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(which, pa.string()), pa.array(coverage, pa.float64())], ["k", "exemplar", "coverage"])
 
@@ -193,5 +199,5 @@ def residue(df: DataFrame, key: str, text: str, exemplars: tuple[tuple[str, floa
 
 
 @functools.lru_cache(4)
-def _index(exemplars, frequency, total) -> Index:
-    return Index(exemplars, dict(frequency), total)
+def _index(exemplars, frequency, total, need) -> Index:
+    return Index(exemplars, dict(frequency), total, need)
