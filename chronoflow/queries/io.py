@@ -41,15 +41,14 @@ def s02_candidate_titles(t):
 
 @R.add("SELECT alias AS key, min(label) AS resolved, min(entries)::VARCHAR AS value, 1 AS hops FROM (SELECT unnest(also_known_as) AS alias, label, entries FROM (SELECT * FROM subjects WHERE label IN (SELECT label FROM subjects GROUP BY label HAVING count(*) = 1))) WHERE alias NOT IN (SELECT label FROM subjects) GROUP BY alias HAVING count(*) = 1")
 def s07_batched_lookup(t):
-    """Aliases looked up fifty at a time, redirects followed (s03, s07, s08, s09)."""
+    """Aliases looked up fifty at a time, redirects followed (s03, s07)."""
     t.spark.dataSource.register(BatchedLookup)
     stage = Stage(t.spark, "io")
     once = t.subjects.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("entries").alias("entries"), F.first("also_known_as").alias("also_known_as")).where("n = 1")
     alias = once.select(F.explode("also_known_as").alias("key"), "label").join(t.subjects.select(F.col("label").alias("key")), "key", "left_anti")
     alias = alias.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("target")).where("n = 1")
     store = once.select(F.col("label").alias("key"), F.lit(None).cast("string").alias("target"), F.col("entries").cast("string").alias("value")).unionByName(alias.select("key", "target", F.lit(None).cast("string").alias("value")))
-    plain = lambda p: p.removeprefix("file://")
-    return t.spark.read.format("batched_lookup").option("path", plain(stage.write_path(store, "store"))).option("keys", plain(stage.write_path(alias.select("key"), "keys"))).option("batch", "50").load()
+    return t.spark.read.format("batched_lookup").option("path", stage.write_path(store, "store")).option("keys", stage.write_path(alias.select("key"), "keys")).option("batch", "50").load()
 
 
 @R.add("SELECT strftime(o_orderdate, '%Y-%m') AS period, round(avg(o_totalprice), 2) AS value FROM orders WHERE month(o_orderdate) <> 6 GROUP BY 1")
@@ -166,7 +165,7 @@ def z01_rate_limit_stream(t):
     marks = rows.select(F.percentile_approx("event_id", edges[1:-1], 1000)).first()[0] or [0, 0]
     bounds = [-1, *marks, 2**62]
     for a, b in zip(bounds, bounds[1:]):
-        rows.where((F.col("event_id") > a) & (F.col("event_id") <= b)).coalesce(1).write.mode("append").parquet(arriving)
+        rows.where((F.col("event_id") > a) & (F.col("event_id") <= b)).write.mode("append").parquet(arriving)
         stream = t.spark.readStream.schema(schema).parquet(arriving)
         query = L.counted(stream, "ts", "user_id", "1 hour", "30 days", 2).writeStream.outputMode("update").option("checkpointLocation", state)
         # each run writes the windows it changed; the last state of a window counts

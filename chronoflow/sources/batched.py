@@ -1,8 +1,8 @@
 """Keyed lookups in batches from a remote store, as a Spark data source.
 
 ``spark.read.format("batched_lookup")`` with options ``path`` (a folder of Parquet snapshots with
-columns key, target, value), ``keys`` (a Parquet folder with column key) and ``batch`` splits the
-keys into partitions of that many, one request each. A request follows redirects (rows whose
+columns key, target, value), ``keys`` (a Parquet folder with column key, each key once) and ``batch``
+asks for that many keys a request; every file of keys is a task of its own. A request follows redirects (rows whose
 ``target`` is set) up to three hops, and a transient failure is tried again with a growing pause.
 Offline the store is the snapshot; a live store replaces ``fetch``.
 """
@@ -60,31 +60,46 @@ class BatchedLookup(DataSource):
         return _Reader(self.options)
 
 
-class _Batch(InputPartition):
-    def __init__(self, keys: list[str]):
+class _File(InputPartition):
+    def __init__(self, path: str):
         super().__init__(0)
-        self.keys = keys
+        self.path = path
+
+
+def _opened(path: str):
+    """A Parquet folder or file at a path or URI of any file system, as a dataset."""
+    import pyarrow.dataset as ds
+    from pyarrow.fs import FileSystem
+
+    if "://" in path or path.startswith("file:"):
+        files, path = FileSystem.from_uri(path)
+        return ds.dataset(path, filesystem=files, format="parquet")
+    return ds.dataset(path, format="parquet")
 
 
 class _Reader(DataSourceReader):
+    """One partition per file of keys: the driver sees the files' names only."""
+
     def __init__(self, options):
         self.path, self.keys, self.size = options["path"], options["keys"], int(options.get("batch", "50"))
 
     def partitions(self) -> list[InputPartition]:
-        import pyarrow.dataset as ds
-
-        keys = sorted(set(ds.dataset(self.keys).to_table(columns=["key"]).column("key").drop_null().to_pylist()))
-        return [_Batch(keys[i : i + self.size]) for i in range(0, len(keys), self.size)] or [_Batch([])]
+        found = _opened(self.keys).files
+        root = self.keys.split("://")[0] + "://" if "://" in self.keys else ""
+        return [_File(root + f) for f in found] or [_File("")]
 
-    def read(self, partition: _Batch) -> Iterator[tuple]:
+    def read(self, partition: _File) -> Iterator[tuple]:
         import pyarrow.compute as pc
-        import pyarrow.dataset as ds
 
-        store = ds.dataset(self.path)
+        if not partition.path:
+            return
+        store = _opened(self.path)
 
         def fetch(keys):
             rows = store.to_table(columns=["key", "target", "value"], filter=pc.field("key").isin(keys)).to_pylist()
             return {r["key"]: (r["target"], r["value"]) for r in rows}
 
-        for key, (name, value, hops) in sorted(resolve(partition.keys, fetch).items()):
-            yield key, name, value, hops
+        for batch in _opened(partition.path).to_batches(columns=["key"], batch_size=self.size):
+            keys = batch.column(0).drop_null().unique().to_pylist()
+            for key, (name, value, hops) in sorted(resolve(keys, fetch).items()):
+                yield key, name, value, hops

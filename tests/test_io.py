@@ -108,3 +108,24 @@ def test_dense_ids(spark):
     rows = spark.range(100).select((F.col("id") * 7 % 100).alias("x"))
     got = sorted((r.x, r.docid) for r in dense_ids(rows, ["x"]).collect())
     assert got == [(i, i) for i in range(100)]
+
+
+def test_staging_refuses_a_cluster_without_a_folder(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from chronoflow.plans import staging
+
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda *a: None)))
+    with pytest.raises(RuntimeError):
+        staging.shared_dir(unset)
+    unset.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        staging.shared_dir(unset)
+    stage = staging.Stage(spark, "drops")
+    a, b = stage.write(spark.range(3), "a"), stage.write(spark.range(4), "b")
+    folder = stage.root.removeprefix("file://")
+    assert b.count() == 4 and len(os.listdir(folder)) == 2
+    stage.drop(a)
+    assert b.count() == 4 and len(os.listdir(folder)) == 1
+    stage.clear()
+    assert not os.path.exists(folder)
