@@ -2,24 +2,31 @@
 
 A text is the set of its distinct words; similarity is Jaccard. Every word has one sort value: the
 size class of its hash bucket (counted over the whole corpus, so common words sort last) followed by
-its hash. A text's sketch is the k lowest values, with k = n - ceil(t n) + 2 for n words: two texts
-of similarity t or more share at least ceil(t n) words, so at most n - ceil(t n) of the lowest
-values of either can be missing in the other, and at least two retained values are common. Inverted
-lists are therefore kept per pair of retained values, which keeps them short where single names
-recur all over the corpus. Texts of more than ``LONG`` words, whose pairs would be too many, are
-listed by single retained values (k one less); those just below are listed both ways, so that no
-link across the border is lost.
-
-Within a list, union sketches filter: each text also carries the occupancy of 64 cells by the same
-hash, and the cells in which two texts differ can't outnumber the words in which they differ. That
-bound never drops a true pair. What is left is made distinct and verified by the exact Jaccard of
-the texts' words.
-
-Exact copies (same words, same day) are one node; they meet in an aggregation, never in a list.
+its hash. A text's sketch holds the ``SKETCH`` lowest values.
+
+*Inverted lists of retained values generate overlaps.* Two texts of similarity t or more share at
+least ceil(t n) words, so at most n - ceil(t n) of the lowest values of either can be missing in the
+other: among the n - ceil(t n) + 2 lowest of each at least two are common. Lists are therefore kept per
+pair of retained values, which keeps them short where single names recur all over the corpus. Texts of
+more than ``LONG`` words, whose pairs would be too many, are listed by single values of that prefix (one
+less); those just below are listed both ways, so that no link across the border is lost. Within a list
+texts are held against each other by size, day and the occupancy of 64 cells by the same hash.
+
+*Union-sketch estimation filters.* The sketches of a candidate pair are merged; among the lowest
+values of the union those that only one text has are counted. Two texts of similarity t can't differ
+in more than (1 - t) / (1 + t) of their words together, so a merged sketch that differs in more is
+dismissed, and no true pair is. Up to ``SKETCH`` words in the union, the estimate is the similarity.
+
+*Exact Jaccard verifies* what is left on the texts' words.
+
+Exact copies (same words, same day) are one node: they are told by a 128-bit digest of their sorted
+words and meet in an aggregation, never in a list. Lists and sets of copies beyond ``HOT`` rows are
+split into blocks; every two blocks meet in a task of their own.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +36,10 @@ from chronoflow.plans.staging import Stage
 
 #: Cells into which words are counted to rank them by frequency: the counts are the one thing the driver gathers.
 CELLS = 1 << 16
+#: Values a sketch holds.
+SKETCH = 32
+#: Rows of one list or one set of copies that meet in one task, and bytes of list rows per task.
+HOT, TASK_BYTES = 2_000, 8_000_000
 #: Distinct words up to which inverted lists are keyed by two retained values.
 LONG = 64
 #: Rows of duplicate groups or candidate ids up to which they are broadcast; beyond, joins shuffle.
@@ -63,21 +74,39 @@ def month_day(date: Column) -> Column:
     return F.when(hit.m.between(1, 12) & hit.d.between(1, 31), hit.m * 32 + hit.d)
 
 
+def _blocks(df: DataFrame, keys: list[str], id: str, blocks: Column) -> DataFrame:
+    """Rows dealt out so that any two of a key meet exactly once if joined on keys, ``lo``, ``hi`` and ``_meets``.
+
+    A key of B blocks has B (B + 1) / 2 places (lo, hi); a row of block b goes to the B places that hold b.
+    """
+    b = F.pmod(F.xxhash64(id), F.col("blocks")).cast("int")
+    dealt = df.withColumn("blocks", blocks).withColumn("block", b).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    return dealt.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).drop("other", "blocks")
+
+
+#: Rows of one block meet at its own place only.
+_MEETS = "a.lo = b.lo and a.hi = b.hi and (a.block <> b.block or a.lo = a.hi)"
+
+
 @dataclass
 class NearDuplicates:
-    """``links`` (a, b): similar nodes; ``copies`` (id, node): rows of nodes with more than one row, the node's own too."""
+    """``links`` (a, b): similar nodes; ``copies`` (id, node, c): rows of nodes with more than one row, the node's own too, and their number."""
 
     links: DataFrame
     copies: DataFrame
     base: DataFrame
     stage: Stage
 
+    def members(self) -> DataFrame:
+        """One row per row with words: id, node (the least id of its exact copies). With ``links`` this says all that pairs() does, in linear space."""
+        return self.base.select("id").join(self.copies.select("id", "node"), "id", "left").select("id", F.coalesce("node", "id").alias("node"))
+
     def pairs(self) -> DataFrame:
         """Every similar pair of rows (a < b), copies expanded."""
         of = lambda side: self.copies.select(F.col("node").alias(side), F.col("id").alias(f"{side}_id"))
         both = self.links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_id", "a").alias("x"), F.coalesce("b_id", "b").alias("y"))
-        one, two = self.copies.alias("p"), self.copies.alias("q")
-        same = one.join(two, F.expr("p.node = q.node and p.id < q.id")).select(F.col("p.id").alias("x"), F.col("q.id").alias("y"))
+        dealt = _blocks(self.copies, ["node"], "id", F.ceil(F.col("c") / HOT))
+        same = dealt.alias("a").join(dealt.alias("b"), F.expr(f"a.node = b.node and a.id < b.id and {_MEETS}")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
         return both.unionByName(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     def groups(self) -> DataFrame:
@@ -85,9 +114,8 @@ class NearDuplicates:
         edges = self.links.unionByName(self.copies.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b")))
         label = components(edges, self.stage)
         degree = self.links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-        rows = self.base.select("id").join(self.copies, "id", "left").select("id", F.coalesce("node", "id").alias("node"))
         return (
-            rows.join(label, "id", "left").join(degree, "node", "left").select("id", F.coalesce("group", "id").alias("group"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
+            self.members().join(label, "id", "left").join(degree, "node", "left").select("id", F.coalesce("group", "id").alias("group"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
         )
 
 
@@ -97,6 +125,11 @@ def _order(word_hash: Column, counts: str) -> Column:
     return F.shiftleft(count.cast("bigint"), 40).bitwiseOR(F.shiftrightunsigned(word_hash, 24))
 
 
+def _prefix(threshold: float) -> Column:
+    """Of n words the number of lowest values among which two similar texts share two."""
+    return F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 2)
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None, threshold: float = 0.8) -> NearDuplicates:
     """Similar rows: Jaccard of distinct words >= ``threshold`` and, if ``date`` is given, no conflicting days.
 
@@ -113,26 +146,26 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
     filled = {r.cell: min(r["count"], (1 << 23) - 1) for r in cells.toLocalIterator()}
     counts = "[" + ",".join(str(filled.get(i, 0)) for i in range(CELLS)) + "]"
 
-    base = rows.select("id", "day", F.array_sort(F.transform(hashes, lambda h: _order(h, counts))).alias("v")).withColumn("n", F.size("v")).where("n > 0")
-    least = F.ceil(F.col("n") * threshold - 1e-9).cast("int")
+    distinct = words(F.col("text"))
+    base = rows.select("id", "day", distinct.alias("w")).where("size(w) > 0")
+    base = base.select("id", "day", F.array_sort(F.transform("w", lambda w: _order(F.xxhash64(w), counts))).alias("v"), F.unhex(F.md5(F.array_join(F.array_sort("w"), " "))).alias("digest")).withColumn("n", F.size("v"))
     base = base.select(
         "id",
         "day",
         "n",
-        F.slice("v", F.lit(1), F.least(F.col("n"), F.col("n") - least + 2)).alias("low"),
+        F.slice("v", F.lit(1), F.greatest(_prefix(threshold), F.lit(SKETCH))).alias("sketch"),
         F.aggregate("v", F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int")))).alias("cells"),
-        F.xxhash64("v").alias("h1"),
-        F.xxhash64(F.lit(7), "v", "n").alias("h2"),
+        "digest",
     )
     base = stage.write(base, "base")
 
     # exact copies: groups with more than one row
-    own = ["h1", "h2", "day"]
-    several = stage.write(base.groupBy(*own).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "several")
+    own = ["digest", "day"]
+    several = stage.write(base.groupBy(*own).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c")).where("c > 1"), "several")
     small = several.count() <= MAX_BROADCAST
     few = lambda x: F.broadcast(x) if small else x
-    copies = stage.write(base.select("id", *own).join(few(several), own).select("id", "node"), "copies")
-    nodes = base.join(few(several), own, "left").where("node is null or node = id").select("id", "low", "cells", F.col("n") * 512 + F.col("day"), "n").toDF("id", "low", "cells", "nd", "n")
+    copies = stage.write(base.select("id", *own).join(few(several), own).select("id", "node", "c"), "copies")
+    nodes = base.join(few(several.drop("c")), own, "left").where("node is null or node = id").select("id", F.slice("sketch", F.lit(1), _prefix(threshold)).alias("low"), "cells", F.col("n") * 512 + F.col("day"), "n").toDF("id", "low", "cells", "nd", "n")
 
     # inverted lists
     single = F.col("low")
@@ -152,6 +185,22 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
         F.when(border | (F.col("n") == 1), F.slice(single, F.lit(1), F.greatest(F.size("low") - 1, F.lit(1)))).otherwise(none),
     )
     lists = nodes.select(F.explode(keys).alias("key"), "id", "cells", "nd")
+    # lists that many texts are on: their cells hold far more rows than others do
+    per_cell = lists.groupBy(F.col("key").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = per_cell.agg(F.sum("rows"), F.avg("rows")).first()
+    total, usual = sizes[0] or 0, sizes[1] or 0.0
+    # at most one row per cell
+    hot = {r.cell: math.ceil((r.rows - usual) / HOT) for r in per_cell.where(F.col("rows") > 2 * usual + HOT).collect()}
+    meets = "a.key = b.key"
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 32 / TASK_BYTES))
+    if hot:
+        table = F.broadcast(spark.createDataFrame(list(hot.items()), "cell bigint, blocks int"))
+        marked = lists.withColumn("cell", F.col("key").bitwiseAND(F.lit(CELLS - 1))).join(table, "cell", "left").drop("cell")
+        lists = _blocks(marked, ["key"], "id", F.coalesce("blocks", F.lit(1)))
+        meets += f" and {_MEETS}"
+        lists = lists.repartition(parts, "key", "lo", "hi")
+    else:
+        lists = lists.repartition(parts, "key")
     na, nb, da, db = "(a.nd div 512)", "(b.nd div 512)", "(a.nd % 512)", "(b.nd % 512)"
     t = repr(threshold)
     found = (
@@ -159,7 +208,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
         .join(
             lists.alias("b"),
             F.expr(
-                f"a.key = b.key and a.id < b.id and ({da} = 0 or {db} = 0 or {da} = {db}) and least({na}, {nb}) >= {t} * greatest({na}, {nb}) - 1e-9 "
+                f"{meets} and a.id < b.id and ({da} = 0 or {db} = 0 or {da} = {db}) and least({na}, {nb}) >= {t} * greatest({na}, {nb}) - 1e-9 "
                 f"and bit_count(a.cells ^ b.cells) <= {na} + {nb} - 2 * ceil(({na} + {nb}) * {t} / (1 + {t}) - 1e-9)"
             ),
         )
@@ -168,15 +217,28 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
     )
     found = stage.write(found, "candidates")
 
-    # exact check on the texts of the candidates
-    ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = stage.write(ids, "ids")
-    n_ids = ids.count()
-    texts = rows.select("id", "text").join(F.broadcast(ids) if n_ids <= MAX_BROADCAST else ids, "id", "left_semi").select("id", words(F.col("text")).alias("w"))
-    checked = found.join(texts.select(F.col("id").alias("a"), F.col("w").alias("wa")), "a").join(texts.select(F.col("id").alias("b"), F.col("w").alias("wb")), "b")
-    common = F.size(F.array_intersect("wa", "wb"))
-    links = checked.where(common >= F.lit(threshold) * (F.size("wa") + F.size("wb") - common) - 1e-9).select("a", "b")
-    return NearDuplicates(stage.write(links, "links"), copies, base, stage)
+    def of(pairs: DataFrame, table: DataFrame, tag: str) -> DataFrame:
+        """Rows of ``table`` that the pairs name."""
+        ids = stage.write(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), tag)
+        return table.join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids, "id", "left_semi")
+
+    def beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        """Columns of both sides, as x and y."""
+        one, two = (table.select(F.col("id").alias(i), F.struct(*(c for c in table.columns if c != "id")).alias(x)) for i, x in (("a", "x"), ("b", "y")))
+        return pairs.join(one, "a").join(two, "b")
+
+    # merged sketches
+    both = beside(found, of(found, base.select("id", "n", F.slice("sketch", 1, SKETCH).alias("s")), "ids"))
+    merged = F.slice(F.array_sort(F.array_union("x.s", "y.s")), 1, SKETCH)
+    differ = F.size(merged) - F.size(F.array_intersect(merged, F.array_intersect("x.s", "y.s")))
+    likely = stage.write(both.where(differ <= (F.col("x.n") + F.col("y.n")) * ((1 - threshold) / (1 + threshold)) + 1e-9).select("a", "b"), "likely")
+
+    # exact check on the texts
+    both = beside(likely, of(likely, rows.select("id", "text"), "likely-ids").select("id", words(F.col("text")).alias("w")))
+    common = F.size(F.array_intersect("x.w", "y.w"))
+    links = stage.write(both.where(common >= F.lit(threshold) * (F.size("x.w") + F.size("y.w") - common) - 1e-9).select("a", "b"), "links")
+    stage.drop(several, found, likely)
+    return NearDuplicates(links, copies, base, stage)
 
 
 def components(edges: DataFrame, stage: Stage, a: str = "a", b: str = "b") -> DataFrame:

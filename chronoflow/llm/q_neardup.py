@@ -21,5 +21,17 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groups().select(F.col("id").alias("row_id"), F.col("group").alias("group_id"), "links")
 
 
-QUERIES = {"p3_found": p3_found, "p3_groups": p3_groups}
+def p3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each published row with words: the row that stands for its exact copies. With p3_links all that p3_found says, in linear space."""
+    found = near_duplicates(table(spark, sf_dir, "published"), "row_id", "text", "date")
+    return found.members().select(F.col("id").alias("row_id"), F.col("node").alias("copy_of"))
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different texts (each by the row that stands for its copies)."""
+    found = near_duplicates(table(spark, sf_dir, "published"), "row_id", "text", "date")
+    return found.links.select(F.col("a").alias("row_id_a"), F.col("b").alias("row_id_b"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_groups": p3_groups, "p3_members": p3_members, "p3_links": p3_links}
 SQL = {}

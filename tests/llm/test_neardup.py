@@ -86,3 +86,36 @@ def df_col(name):
     from pyspark.sql import functions as F
 
     return F.col(name)
+
+
+def test_split_lists_and_copies(spark, monkeypatch):
+    """Lists and sets of copies in blocks of three give the same pairs, each once."""
+    from chronoflow.llm import neardup
+
+    monkeypatch.setattr(neardup, "HOT", 3)
+    rows = fixture()
+    i = len(rows)
+    rare = [f"rare{k}" for k in range(20)]
+    rows += [(i + k, " ".join(rare[:18] + [f"x{k % 14}"]), None, 1, None, None, None) for k in range(40)]
+    want = brute(rows)
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA), "id", "text", "date")
+    got = [tuple(r) for r in found.pairs().collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    members = {r.id: r.node for r in found.members().collect()}
+    links = {(r.a, r.b) for r in found.links.collect()}
+    ids = sorted(members)
+    said = {(x, y) for n, x in enumerate(ids) for y in ids[n + 1 :] if members[x] == members[y] or (min(members[x], members[y]), max(members[x], members[y])) in links}
+    assert said == want
+
+
+def test_merged_sketches_dismiss_no_pair():
+    """The words in which two texts of similarity t differ bound what differs in their merged sketch."""
+    rnd = random.Random(3)
+    for _ in range(2000):
+        n = rnd.randrange(1, 200)
+        a = rnd.sample(range(10**6), n)
+        b = set(a[: rnd.randrange(int(n * 0.7), n + 1)]) | set(rnd.sample(range(10**6), rnd.randrange(0, n // 8 + 1)))
+        a = set(a)
+        if b and len(a & b) >= 0.8 * len(a | b):
+            merged = set(sorted(a | b)[:32])
+            assert len(merged - (a & b)) <= (len(a) + len(b)) * 0.2 / 1.8 + 1e-9
