@@ -148,7 +148,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
 
     distinct = words(F.col("text"))
     base = rows.select("id", "day", distinct.alias("w")).where("size(w) > 0")
-    base = base.select("id", "day", F.array_sort(F.transform("w", lambda w: _order(F.xxhash64(w), counts))).alias("v"), F.unhex(F.md5(F.array_join(F.array_sort("w"), " "))).alias("digest")).withColumn("n", F.size("v"))
+    base = base.select("id", "day", F.sort_array(F.transform("w", lambda w: _order(F.xxhash64(w), counts))).alias("v"), F.unhex(F.md5(F.array_join(F.sort_array("w"), " "))).alias("digest")).withColumn("n", F.size("v"))
     base = base.select(
         "id",
         "day",
@@ -229,7 +229,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, date: str | None = None,
 
     # merged sketches
     both = beside(found, of(found, base.select("id", "n", F.slice("sketch", 1, SKETCH).alias("s")), "ids"))
-    merged = F.slice(F.array_sort(F.array_union("x.s", "y.s")), 1, SKETCH)
+    merged = F.slice(F.sort_array(F.array_union("x.s", "y.s")), 1, SKETCH)
     differ = F.size(merged) - F.size(F.array_intersect(merged, F.array_intersect("x.s", "y.s")))
     likely = stage.write(both.where(differ <= (F.col("x.n") + F.col("y.n")) * ((1 - threshold) / (1 + threshold)) + 1e-9).select("a", "b"), "likely")
 
