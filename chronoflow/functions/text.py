@@ -28,6 +28,8 @@ IRREGULAR = {
 }
 #: Letters that decompose to no ASCII letter, with their plain spelling.
 SPECIAL = {"đ": "d", "ð": "d", "ø": "o", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t"}
+#: Letters with a plain spelling of two.
+DOUBLE = {"ß": "ss", "æ": "ae", "Æ": "Ae", "œ": "oe", "Œ": "Oe", "þ": "th", "Þ": "Th"}
 
 
 @functools.cache
@@ -38,11 +40,13 @@ def fold_table() -> tuple[str, str]:
 
 
 def fold(text: Column, special: bool = False) -> Column:
-    """Letters without their marks, inside the JVM; with ``special`` also đ, ø, ł and the like."""
+    """Letters without their marks, inside the JVM; with ``special`` also đ, ø, ł, ß, æ and the like."""
     a, b = fold_table()
     if special:
         for x, y in SPECIAL.items():
             a, b = a + x + x.upper() * (x != "ı"), b + y + y.upper() * (x != "ı")
+        for x, y in DOUBLE.items():
+            text = F.replace(text, F.lit(x), F.lit(y))
     return F.translate(text, a, b)
 
 

@@ -10,7 +10,7 @@ from chronoflow.operators import benchmark as B
 from chronoflow.operators import claims as C
 from chronoflow.operators import gates as V
 from chronoflow.queries.registry import Registry
-from chronoflow.queries.scalars import _A, _B, CSTOP, ROMAN, sql_stem
+from chronoflow.queries.scalars import CSTOP, ROMAN, sql_plain_letters, sql_stem
 from chronoflow.queries.scalars import MONTHS as SQL_MONTHS
 from chronoflow.queries.search import sql_norm
 
@@ -178,28 +178,79 @@ def b02_year_scores(t):
     return a.select("row_id", "guess", F.coalesce(F.col("guess") == F.col("year"), F.lit(False)).alias("exact"), F.coalesce(F.abs(F.col("guess") - F.col("year")) <= 1, F.lit(False)).alias("near"))
 
 
+def sql_title(c: str) -> str:
+    """A title without what is in brackets, in small plain letters."""
+    c = rf"regexp_replace(regexp_replace(lower({sql_plain_letters(c)}), '^medley: *', ''), '[\(\[][^\)\]]*[\)\]]', ' ', 'g')"
+    return f"trim(regexp_replace(regexp_replace(replace({c}, '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+SQL_SAID = "CASE page_id % 4 WHEN 0 THEN 'It was “' || source.title || '” by ' || coalesce(place, 'nobody') WHEN 1 THEN source.title || ' - ' || source.site WHEN 2 THEN 'I think the page ' || source.title || ' fits' ELSE label END"
+
+
 @R.add(rf"""
-WITH x AS (SELECT page_id, trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(source.title), '[\(\[][^\)\]]*[\)\]]', ' ', 'g'), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS title, trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(label), '[\(\[][^\)\]]*[\)\]]', ' ', 'g'), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS label FROM (SELECT page_id, {{'title': translate(source.title, '{_A}', '{_B}')}} AS source, translate(label, '{_A}', '{_B}') AS label FROM articles))
-SELECT page_id, title, coalesce(title = label OR (length(label) > 0 AND starts_with(title, label || ' ')), false) AS accepted FROM x""")
+WITH a AS (SELECT page_id, source.title AS t, label, trim(coalesce({SQL_SAID}, '')) AS said FROM articles),
+f AS (SELECT *, [said, split_part(said, chr(10), 1)] || regexp_extract_all(said, '["“”]([^"“”]+)["“”]', 1) || regexp_extract_all(said, '\*\*([^*]+)\*\*', 1) AS found FROM a),
+e AS (SELECT *, list_distinct(list_transform(flatten(list_transform(found, lambda x: [x, regexp_replace(x, '(?s)\s+by\s+.*$', ''), regexp_replace(x, '(?s)\s+[–—-]\s+.*$', ''), regexp_replace(x, '(?s)\s*,\s*by\s+.*$', ''), regexp_replace(x, '(?s)\s*—\s*.*$', '')])), lambda x: {sql_title('x')})) AS readings FROM f),
+g AS (SELECT *, list_filter([{sql_title('t')}, {sql_title('label')}], lambda x: x IS NOT NULL AND x <> '') AS titles, ' ' || {sql_title('said')} || ' ' AS plain FROM e)
+SELECT page_id, coalesce(list_has_any(titles, readings) OR len(list_filter(titles, lambda x: len(string_split(x, ' ')) >= 3 AND contains(plain, ' ' || x || ' '))) > 0, false) AS accepted FROM g""")
 def b03_title_scores(t):
-    """Titles accepted as their label, brackets and signs aside."""
-    x = t.articles.select("page_id", B.plain_title(F.col("source.title")).alias("title"), B.plain_title(F.col("label")).alias("label"))
-    ok = (F.col("title") == F.col("label")) | ((F.length("label") > 0) & F.startswith("title", F.concat("label", F.lit(" "))))
-    return x.select("page_id", "title", F.coalesce(ok, F.lit(False)).alias("accepted"))
+    """Answers in which an accepted title is found: as all of it, quoted, before "by" or a dash, or within it if long enough."""
+    k, title = F.col("page_id") % 4, F.col("source.title")
+    said = F.when(k == 0, F.concat(F.lit("It was “"), title, F.lit("” by "), F.coalesce("place", F.lit("nobody")))).when(k == 1, F.concat(title, F.lit(" - "), "source.site")).when(k == 2, F.concat(F.lit("I think the page "), title, F.lit(" fits"))).otherwise(F.col("label"))
+    return t.articles.select("page_id", B.title_accepted(F.array(title, F.col("label")), said).alias("accepted"))
+
+
+def sql_names(c: str) -> str:
+    """Words of a name as score_names takes them."""
+    marks = "translate({}, chr(8217) || chr(8216) || chr(699) || chr(700), chr(39) || chr(39))"
+    folded = sql_plain_letters(f"coalesce({c}, '')")
+    plain = marks.format(f"lower({folded})")
+    words = rf"list_filter(list_transform(regexp_split_to_array(regexp_replace({plain}, '\b([0-9]+)(?:st|nd|rd|th)\b', '\1', 'g'), '[^a-z0-9\x27]+'), lambda w: trim(w, chr(39))), lambda w: w <> '')"
+    known = {**{str(i + 1): r for i, r in enumerate(B.NUMERALS)}, **{w: row.split()[0] for row in B.SPELLINGS for w in row.split()[1:]}}
+    table = "MAP {" + ", ".join("'{}': '{}'".format(k.replace("'", "''"), v) for k, v in known.items()) + "}"
+    return f"list_transform({words}, lambda w: coalesce({table}[w], w))"
+
+
+def sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+SQL_NAMES = rf"""
+WITH w AS (SELECT term_id, {sql_names('person')} AS g, {sql_names('quote')} AS r, {sql_list(B.NUMERALS)} AS numerals, {sql_list(B.PARTICLES)} AS particles, {sql_list(B.COMMON_GIVEN)} AS given FROM stateleaders),
+n AS (SELECT *, list_filter(g[2:], lambda x: list_contains(numerals, x)) AS numbers FROM w),
+p AS (SELECT *, list_filter(g, lambda x: NOT list_contains(particles, x) AND NOT list_contains(numbers, x) AND length(x) >= 2) AS parts FROM n),
+o AS (SELECT *, parts[-1] AS last, list_filter(parts, lambda x: list_contains(r, x)) AS hits, list_position(r, parts[1]) AS first_at, list_position(r, parts[-1]) AS last_at FROM p),
+b AS (SELECT *, CASE WHEN last_at > 1 THEN r[last_at - 1] END AS before FROM o)
+SELECT term_id, CASE WHEN len(parts) = 0 THEN 'none'
+ WHEN len(numbers) > 0 AND first_at IS NOT NULL AND list_has_any(numbers, r[first_at + 1:]) THEN 'regnal'
+ WHEN len(numbers) > 0 AND (len(parts) = 1 OR len(list_filter(r, lambda x: list_contains(numerals, x) AND NOT list_contains(numbers, x) AND x <> 'i')) > 0) THEN 'none'
+ WHEN last_at IS NOT NULL AND len(parts) > 1 AND first_at IS NULL AND regexp_full_match(coalesce(before, ''), '[a-z]{{2,}}') AND NOT list_contains(particles, before) AND NOT list_contains(g, before) AND NOT list_contains(numerals, before) THEN 'none'
+ WHEN last_at IS NOT NULL AND (len(parts) > 1 OR length(last) >= 4) THEN 'surname'
+ WHEN len(hits) >= 2 AND len(list_filter(hits, lambda x: NOT list_contains(given, x))) > 0 THEN 'two parts'
+ WHEN len(parts) >= 3 AND first_at IS NOT NULL AND NOT list_contains(given, parts[1]) AND length(parts[1]) >= 4 THEN 'first of several' ELSE 'none' END AS rule FROM b"""
+
+
+@R.add(SQL_NAMES)
+def b04_name_rules(t):
+    """The rule by which a holder's line is accepted as naming the holder, likeness of spelling aside."""
+    return B.score_names(t.stateleaders.select("term_id", "person", "quote"), "person", "quote", near=False).select("term_id", "rule")
 
 
 @R.add()
 def b04_name_scores(t):
-    """The rule by which a holder's link is accepted as the name."""
-    return t.stateleaders.select("term_id", B.match_names("person", "quote").alias("rule"))
+    """The same with surnames spelt nearly alike."""
+    return B.score_names(t.stateleaders.select("term_id", "person", "quote"), "person", "quote").select("term_id", "rule")
 
 
 @R.add(r"""
-WITH x AS (SELECT row_id, year, list_transform(regexp_extract_all(text, '\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?'), lambda s: replace(s, ',', '')::DOUBLE) AS v FROM published WHERE text IS NOT NULL)
-SELECT row_id, coalesce(list_filter(v, lambda z: z <> year AND z <> 2026 AND z <> 100)[1], v[1]) AS amount FROM x""")
+WITH x AS (SELECT row_id, year, prominence, list_transform(regexp_extract_all(text, '[0-9][0-9.,]*'), lambda r: regexp_replace(r, '[.,]+$', '')) AS runs FROM published WHERE text IS NOT NULL),
+y AS (SELECT *, list_filter(list_transform(flatten(list_transform(runs, lambda r: CASE WHEN regexp_full_match(r, '[0-9]{1,3}(,[0-9]{3})+([.][0-9]+)?') THEN [replace(r, ',', '')] ELSE string_split(r, ',') END)), lambda p: TRY_CAST(p AS DOUBLE)), lambda v: v IS NOT NULL) AS v FROM x),
+z AS (SELECT row_id, prominence, coalesce(list_filter(v, lambda z: z <> year AND z <> 2026 AND z <> 100)[1], v[1]) AS amount FROM y)
+SELECT row_id, amount, coalesce(CASE WHEN prominence <> 0 THEN abs(amount - prominence) / abs(prominence) END <= 0.25, false) AS near FROM z""")
 def b05_amounts(t):
-    """The first amount of each text that is none of the years asked about."""
-    return t.published.where("text is not null").select("row_id", B.amount_answer(F.col("text"), F.col("year"), F.lit(2026)).alias("amount"))
+    """The first amount of each text that is none of the years asked about, and whether it is within a quarter of the answer."""
+    x = t.published.where("text is not null").select("row_id", "prominence", B.amount_answer(F.col("text"), F.col("year"), F.lit(2026)).alias("amount"))
+    return x.select("row_id", "amount", F.coalesce(B.relative_error(F.col("amount"), F.col("prominence")) <= 0.25, F.lit(False)).alias("near"))
 
 
 # gates

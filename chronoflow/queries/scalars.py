@@ -32,7 +32,13 @@ _A = A + "".join(x + x.upper() * (x != "ı") for x in X.SPECIAL)
 _B = B + "".join(y + y.upper() * (x != "ı") for x, y in X.SPECIAL.items())
 
 
-@R.add(f"SELECT slug, translate(label, '{_A}', '{_B}') AS plain FROM subjects")
+def sql_plain_letters(c: str) -> str:
+    for x, y in X.DOUBLE.items():
+        c = f"replace({c}, '{x}', '{y}')"
+    return f"translate({c}, '{_A}', '{_B}')"
+
+
+@R.add(f"SELECT slug, {sql_plain_letters('label')} AS plain FROM subjects")
 def f03_fold(t):
     """Labels without marks, special letters spelt plainly."""
     return t.subjects.select("slug", X.fold(F.col("label"), special=True).alias("plain"))

@@ -13,7 +13,8 @@ from chronoflow.operators import gates as V
 from chronoflow.operators import joins as J
 from chronoflow.operators import ordered as O
 from chronoflow.operators import selection as S
-from chronoflow.operators.benchmark import name_rule
+from chronoflow.operators import benchmark
+from chronoflow.operators.benchmark import score_names
 from chronoflow.operators.vectors import classify
 
 
@@ -125,10 +126,24 @@ def test_classify(spark):
     assert {r.theme for r in classify(rows, "id", "v", []).collect()} == {None}
 
 
-def test_names():
-    assert name_rule("Louis XVIII", "It was Louis 18th") == "regnal"
-    assert name_rule("Louis XVIII", "Louis XVI") == "none"
-    assert name_rule("Ilham Aliyev", "Heydar Aliyev") == "none"
-    assert name_rule("Ilham Aliyev", "President Ilham Aliyev") == "surname"
-    assert name_rule("Ismail Fahmi", "Ismail Fahmy") == "near surname"
-    assert name_rule(None, "x") == "none" and name_rule("A", "") == "none"
+def test_names(spark):
+    cases = [
+        ("Louis XVIII", "It was Louis 18th", "regnal"), ("Louis XVIII", "Louis XVI", "none"), ("Ilham Aliyev", "Heydar Aliyev", "none"), ("Ilham Aliyev", "President Ilham Aliyev", "surname"), ("Ismail Fahmi", "Ismail Fahmy", "near surname"), (None, "x", "none"), ("A", "", "none"),
+        ("Umberto I", "Humbert 1st", "regnal"), ("Carlos III", "Charles the 3rd", "regnal"), ("Ahmad I Al-Jaber Al-Sabah", "Ahmed Al-Jaber Al-Sabah", "surname"), ("Alexandru II Ghica", "Alexandru III Ghica", "none"), ("Müller", "Ms. Mueller", "near surname"), ("Weiß", "Mr Weiss", "surname"),
+        ("Mobutu Sese Seko", "Mobutu", "first of several"), ("Omar Hassan Ahmad", "Umar of Hasan", "none"), ("Omar Bongo Ondimba", "Umar Bongo", "two parts"), ("José de la Mar", "General de la Mar", "surname"), ("Sa’id Lamu", "Saeed Lamu", "surname"), ("Og", "Og", "none"), ("of the", "of the", "none"),
+    ]
+    rows = spark.createDataFrame([(i, *c[:2], 1) for i, c in enumerate(cases)], "i int, gold string, said string, g int")
+    got = {r.i: r.rule for r in score_names(rows, "gold", "said").collect()}
+    assert [(c, got[i]) for i, c in enumerate(cases) if got[i] != c[2]] == []
+    assert {r.rule for r in score_names(rows.where("i = 4"), "gold", "said", near=False).collect()} == {"none"}
+    assert score_names(rows.limit(0), "gold", "said").columns == ["i", "gold", "said", "g", "rule"]
+
+
+def test_titles_and_amounts(spark):
+    titles = [("Rolling (Live)", '"Rolling" by Someone', True), ("Rolling", "Rolling - Someone", True), ("Medley: A & B", "a and b", True), ("One of These", "I say one of these it is", True), ("Two Words", "I say two words it is", False), ("", "", False), (None, "x", False), ("x", None, False)]
+    rows = spark.createDataFrame([(i, *c[:2]) for i, c in enumerate(titles)], "i int, t string, a string")
+    got = {r.i: r.ok for r in rows.select("i", benchmark.title_accepted(F.array("t"), F.col("a")).alias("ok")).collect()}
+    assert got == {i: c[2] for i, c in enumerate(titles)}
+    texts = {"in 1920, 100 cost 1,234.50 and 7": 1234.5, "1920 and 10,20": 10.0, "100": 100.0, "none": None, "12,345,678.": 12345678.0, "1.2.3 9": 9.0}
+    rows = spark.createDataFrame([(k,) for k in texts], "x string")
+    assert {r.x: r.v for r in rows.select("x", benchmark.amount_answer(F.col("x"), F.lit(1920), F.lit(1950)).alias("v")).collect()} == texts
