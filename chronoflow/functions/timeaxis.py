@@ -72,23 +72,22 @@ def parse_date(text: Column) -> Column:
 
 
 def span_days(text: Column, longest: int = 14) -> Column:
-    """Days of a printed range "Month d-d" or "Month d - Month d" as array of (month, day).
+    """Days of a printed range "Month d-d" or "Month d - Month d" as array of (month, day); empty for what is no range.
 
-    Of a range longer than ``longest`` days only the first day; a number that goes on (digits, a comma
-    with digits, an ordinal's letters) is no range. Null where no day is named.
+    No range: a second number that goes on (digits, a comma, an ordinal's letters), a day its month
+    doesn't have, an end that isn't after its start, more than ``longest`` days between them. A range
+    may pass the year's end.
     """
     t = F.trim(F.coalesce(text, F.lit("")))
-    head = rf"^({_MONTH})\s+(\d{{1,2}})"
-    tail = rf"^(?:{_MONTH})\s+\d{{1,2}}\s*[-–]\s*(?:({_MONTH})\s+)?(\d{{1,2}})(?![\d,]|st|nd|rd|th)"
-    m, d = month_number(F.regexp_extract(t, head, 1)), F.regexp_extract(t, head, 2).try_cast("int")
-    to_m, to_d = month_number(F.regexp_extract(t, tail, 1)), F.regexp_extract(t, tail, 2).try_cast("int")
-    start = F.try_make_timestamp(F.lit(2000), m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    end = F.try_make_timestamp(F.lit(2000), F.coalesce(to_m, m), to_d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    end = F.when(end < start, F.add_months(end, 12)).otherwise(end)
+    tail = rf"^({_MONTH})\s+(\d{{1,2}})\s*[-–—]\s*(?:({_MONTH})\s+)?(\d{{1,2}})(?![\d,]|st|nd|rd|th)"
+    of = lambda i: F.regexp_extract(t, tail, i)
+    day = lambda m, d: F.try_make_timestamp(F.lit(2000), m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    m, to_m = month_number(of(1)), month_number(of(3))
+    start, end = day(m, of(2).try_cast("int")), day(F.coalesce(to_m, m), of(4).try_cast("int"))
+    end = F.when((end < start) & to_m.isNotNull(), F.add_months(end, 12)).otherwise(end)
     length = F.datediff(end, start)
-    last = F.when((length > 0) & (length <= longest), end).otherwise(start)
-    days = F.transform(F.sequence(start, last), lambda x: F.struct(F.month(x).alias("month"), F.dayofmonth(x).alias("day")))
-    return F.when(start.isNotNull(), days)
+    days = F.transform(F.sequence(start, F.when((length > 0) & (length <= longest), end)), lambda x: F.struct(F.month(x).alias("month"), F.dayofmonth(x).alias("day")))
+    return F.coalesce(days, F.array().cast("array<struct<month:int,day:int>>"))
 
 
 def julian_day(year: Column, month: Column, day: Column) -> Column:

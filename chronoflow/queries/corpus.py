@@ -150,52 +150,63 @@ def e01_nearest_theme(t):
     return classify(t.embeddings, "vec_id", "embedding", prototypes(t))
 
 
-SQL_CASCADE = """CASE WHEN kind = 'death' OR regexp_matches(lower(text), '(^|[^\\p{L}])(dies|mourned by)([^\\p{L}]|$)') THEN 'Deaths' WHEN kind = 'birth' THEN 'Births' WHEN section IS NOT NULL THEN section
- WHEN regexp_matches(lower(text), 'siege|army|truce|garrison') THEN 'War and Siege' WHEN regexp_matches(lower(text), 'bridge|canal|walls') THEN 'Building' WHEN regexp_matches(lower(text), 'elects|regency|warden|acclaimed') THEN 'Rule and Office' ELSE 'Other' END"""
-SQL_FROM = """CASE WHEN kind IN ('birth', 'death') OR regexp_matches(lower(text), '(^|[^\\p{L}])(dies|mourned by)([^\\p{L}]|$)') THEN 'rule' WHEN section IS NOT NULL THEN 'heading' WHEN regexp_matches(lower(text), 'siege|army|truce|garrison|bridge|canal|walls|elects|regency|warden|acclaimed') THEN 'words' ELSE 'none' END"""
+SQL_RULES = """CASE WHEN kind = 'death' OR regexp_matches(lower(text), '(^|[^\\p{L}])(dies|mourned by)([^\\p{L}]|$)') THEN 'Deaths' WHEN kind = 'birth' THEN 'Births' WHEN section IS NOT NULL THEN section
+ WHEN regexp_matches(lower(text), 'siege|army|truce|garrison') THEN 'War and Siege' WHEN regexp_matches(lower(text), 'bridge|canal|walls') THEN 'Building' WHEN regexp_matches(lower(text), 'elects|regency|warden|acclaimed') THEN 'Rule and Office' WHEN near IS NOT NULL THEN 'Topic ' || near ELSE 'Other' END"""
+SQL_FROM = """CASE WHEN kind IN ('birth', 'death') OR regexp_matches(lower(text), '(^|[^\\p{L}])(dies|mourned by)([^\\p{L}]|$)') THEN 'rule' WHEN section IS NOT NULL THEN 'heading' WHEN regexp_matches(lower(text), 'siege|army|truce|garrison|bridge|canal|walls|elects|regency|warden|acclaimed') THEN 'words' WHEN near IS NOT NULL THEN 'vectors' ELSE 'none' END"""
+SQL_NEAR = f"{SQL_SIMS}, near AS (SELECT vec_id, theme AS near FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, theme) AS k FROM s) WHERE k = 1), x AS (SELECT row_id, kind, section, coalesce(text, '') AS text, near FROM published LEFT JOIN near ON vec_id = row_id)"
 
 
 def themed(t, heading=True):
+    """Death rule, heading, words; a row that none of them settles goes to the theme its vector is nearest to, where it has one."""
     low = F.lower(F.coalesce("text", F.lit("")))
-    death = (F.col("kind") == "death") | low.rlike(r"(^|[^\p{L}])(dies|mourned by)([^\p{L}]|$)")
+    death = F.coalesce(F.col("kind") == "death", F.lit(False)) | low.rlike(r"(^|[^\p{L}])(dies|mourned by)([^\p{L}]|$)")
     lexical = F.when(low.rlike("siege|army|truce|garrison"), "War and Siege").when(low.rlike("bridge|canal|walls"), "Building").when(low.rlike("elects|regency|warden|acclaimed"), "Rule and Office")
     theme = F.when(death, "Deaths").when(F.col("kind") == "birth", "Births")
     origin = F.when(death | (F.col("kind") == "birth"), "rule")
     if heading:
         theme, origin = theme.when(F.col("section").isNotNull(), F.col("section")), origin.when(F.col("section").isNotNull(), "heading")
-    return t.published.select("row_id", "section", theme.otherwise(F.coalesce(lexical, F.lit("Other"))).alias("theme"), origin.when(lexical.isNotNull(), "words").otherwise("none").alias("theme_from"))
+    near = classify(t.embeddings, "vec_id", "embedding", prototypes(t)).select(F.col("vec_id").alias("row_id"), F.concat(F.lit("Topic "), F.col("theme").cast("string")).alias("near"))
+    rows = t.published.select("row_id", "kind", "section", "text").join(near, "row_id", "left")
+    return rows.select("row_id", "section", theme.otherwise(F.coalesce(lexical, "near", F.lit("Other"))).alias("theme"), origin.when(lexical.isNotNull(), "words").when(F.col("near").isNotNull(), "vectors").otherwise("none").alias("theme_from"))
 
 
-@R.add(f"SELECT row_id, {SQL_CASCADE} AS theme, {SQL_FROM} AS theme_from FROM (SELECT row_id, kind, section, coalesce(text, '') AS text FROM published)")
+@R.add(f"WITH {SQL_NEAR} SELECT row_id, {SQL_RULES} AS theme, {SQL_FROM} AS theme_from FROM x")
 def e02_theme_cascade(t):
-    """Themes by rule, heading or words, with their origin."""
+    """Themes by rule, heading, words or the nearest vector, with their origin."""
     return themed(t).drop("section")
 
 
-@R.add(f"SELECT section, {SQL_CASCADE.replace('WHEN section IS NOT NULL THEN section', '')} AS theme, count(*) AS n FROM (SELECT kind, section, coalesce(text, '') AS text FROM published WHERE section IS NOT NULL) GROUP BY 1, 2")
+@R.add(f"WITH {SQL_NEAR} SELECT section, {SQL_RULES.replace('WHEN section IS NOT NULL THEN section', '')} AS theme, count(*) AS n FROM x WHERE section IS NOT NULL GROUP BY 1, 2")
 def e04_held_out(t):
     """Themes derived without the heading, against it."""
     return themed(t, heading=False).where("section is not null").groupBy("section", "theme").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("""
-WITH x AS (SELECT row_id, unnest(links) AS link FROM published), c AS (SELECT link, p.section AS cat, count(*) AS n FROM x JOIN published p USING (row_id) WHERE p.section IS NOT NULL GROUP BY 1, 2),
+SQL_DATEISH = r"^(?:[0-9]{1,4}( BC)?|[0-9]+s|[0-9]+(st|nd|rd|th) century)$"
+
+
+@R.add(f"""
+WITH x AS (SELECT row_id, link FROM (SELECT row_id, unnest(links) AS link FROM published) WHERE link IS NOT NULL AND NOT regexp_matches(link, '{SQL_DATEISH}')), c AS (SELECT link, p.section AS cat, count(*) AS n FROM x JOIN published p USING (row_id) WHERE p.section IS NOT NULL GROUP BY 1, 2),
 df AS (SELECT cat, ln((SELECT count(DISTINCT link) FROM c)::DOUBLE / (1 + count(*))) AS idf FROM c GROUP BY cat), b AS (SELECT link, cat, round(idf * ln(1 + n), 6) AS s FROM c JOIN df USING (cat)),
-v AS (SELECT row_id, cat, sum(s) AS score FROM x JOIN b USING (link) GROUP BY 1, 2), k AS (SELECT row_id, count(*) AS links FROM x GROUP BY 1),
-r AS (SELECT row_id, cat, round(score, 4) AS score, row_number() OVER (PARTITION BY row_id ORDER BY round(score, 4) DESC, cat) AS k, lead(round(score, 4)) OVER (PARTITION BY row_id ORDER BY round(score, 4) DESC, cat) AS second FROM v)
-SELECT row_id, cat, score FROM r JOIN k USING (row_id) WHERE r.k = 1 AND links >= 2 AND score >= 2 AND (second IS NULL OR score >= 1.2 * second)""")
+best AS (SELECT row_id, link, cat, max(s) AS s FROM x JOIN b USING (link) GROUP BY 1, 2, 3),
+v AS (SELECT row_id, cat, round(sum(s), 4) AS score, count(*) AS links FROM best GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, cat) AS k, lead(score) OVER (PARTITION BY row_id ORDER BY score DESC, cat) AS second FROM v)
+SELECT row_id, cat, score FROM r WHERE k = 1 AND links >= 2 AND score >= 2 AND (second IS NULL OR score >= 2 * second)""")
 def e05_category_vote(t):
-    """The category that a row's linked subjects vote for, if two or more do and clearly."""
-    x = t.published.select("row_id", F.explode("links").alias("link"))
+    """The category that a row's linked subjects vote for, if two of them or more do, and twice as strongly as for any other.
+
+    Every subject votes once per category, with what it weighs there; links that are dates don't vote.
+    """
+    x = t.published.select("row_id", F.explode("links").alias("link")).where(F.col("link").isNotNull() & ~F.col("link").rlike(SQL_DATEISH))
     c = x.join(t.published.where("section is not null").select("row_id", F.col("section").alias("cat")), "row_id").groupBy("link", "cat").agg(F.count(F.lit(1)).alias("n"))
     n = c.agg(F.count_distinct("link")).scalar()
     df = c.groupBy("cat").agg(F.log(n / (1 + F.count(F.lit(1)))).alias("idf"))
     b = c.join(df, "cat").select("link", "cat", F.round(F.col("idf") * F.log1p("n"), 6).alias("s"))
-    v = x.join(b, "link").groupBy("row_id", "cat").agg(F.round(F.sum("s"), 4).alias("score"))
+    best = x.distinct().join(b, "link")
+    v = best.groupBy("row_id", "cat").agg(F.round(F.sum("s"), 4).alias("score"), F.count(F.lit(1)).alias("links"))
     w = Window.partitionBy("row_id").orderBy(F.desc("score"), "cat")
     r = v.withColumn("k", F.row_number().over(w)).withColumn("second", F.lead("score").over(w)).where("k = 1")
-    links = x.groupBy("row_id").agg(F.count(F.lit(1)).alias("links"))
-    return r.join(links, "row_id").where("links >= 2 and score >= 2 and (second is null or score >= 1.2 * second)").select("row_id", "cat", "score")
+    return r.where("links >= 2 and score >= 2 and (second is null or score >= 2 * second)").select("row_id", "cat", "score")
 
 
 # filters on rows

@@ -8,6 +8,7 @@ from chronoflow.functions import timeaxis as T
 from chronoflow.operators import joins as J
 from chronoflow.queries.aggregates import COUNTRY, SQL_MD, country, dated
 from chronoflow.queries.registry import Registry
+from chronoflow.queries.scalars import SQL_DAYS
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -108,10 +109,13 @@ def j10_overlap(t):
     return J.overlapping(s, spans(t), [], ("first_year", "last_year"), ("s", "e"), 64).groupBy("slug").agg(F.count(F.lit(1)).alias("terms"), F.count_distinct("continent").alias("regions"))
 
 
-@R.add()
+@R.add(f"""
+WITH {SQL_DAYS}, one AS (SELECT row_id, m AS month, d AS day FROM ({SQL_MD}) WHERE d IS NOT NULL AND row_id NOT IN (SELECT row_id FROM days)), both_ AS (SELECT * FROM days UNION ALL SELECT * FROM one)
+SELECT month::INTEGER AS month, day::INTEGER AS day, count(DISTINCT row_id) AS rows FROM both_ GROUP BY 1, 2""")
 def j11_day_containment(t):
-    """Rows whose printed range of days covers each day of the calendar."""
-    days = t.published.select("row_id", F.explode(T.span_days(F.col("date"))).alias("x")).select("row_id", "x.month", "x.day")
+    """Rows whose date, one day or a printed range of days, covers each day of the calendar."""
+    x = t.published.select("row_id", T.span_days(F.col("date")).alias("span"), T.parse_date(F.col("date")).alias("one"))
+    days = x.select("row_id", F.explode(F.when(F.size("span") > 0, F.col("span")).when(F.col("one.day").isNotNull(), F.array("one"))).alias("x")).select("row_id", "x.month", "x.day")
     return days.groupBy("month", "day").agg(F.count_distinct("row_id").alias("rows"))
 
 

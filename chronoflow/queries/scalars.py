@@ -97,9 +97,19 @@ def f09_without_date(t):
     return t.published.select("row_id", X.strip_date_prefix(F.col("text")).alias("body"))
 
 
-@R.add()
+_MONTHS = "|".join(T.MONTHS)
+_MLIST = "[" + ", ".join(f"'{m}'" for m in T.MONTHS) + "]"
+SQL_DAYS = rf"""t AS (SELECT row_id, trim(coalesce(date, '')) AS t FROM published),
+p AS (SELECT row_id, regexp_extract(t, '^({_MONTHS})\s+(\d{{1,2}})\s*[-–—]\s*(?:({_MONTHS})\s+)?(\d{{1,2}})(.*)$', ['a', 'b', 'c', 'd', 'rest']) AS x FROM t),
+q AS (SELECT row_id, list_position({_MLIST}, x.a) AS m, TRY_CAST(x.b AS INTEGER) AS d, list_position({_MLIST}, x.c) AS to_m, TRY_CAST(x.d AS INTEGER) AS to_d FROM p WHERE x.a <> '' AND NOT regexp_matches(x.rest, '^(\d|,|st|nd|rd|th)')),
+s AS (SELECT row_id, to_m, TRY_CAST('2000-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') AS DATE) AS a, TRY_CAST('2000-' || lpad(coalesce(to_m, m)::VARCHAR, 2, '0') || '-' || lpad(to_d::VARCHAR, 2, '0') AS DATE) AS b FROM q),
+r AS (SELECT row_id, a, (CASE WHEN b < a AND to_m IS NOT NULL THEN b + INTERVAL 1 YEAR ELSE b END)::DATE AS b FROM s),
+days AS (SELECT row_id, month(day)::INTEGER AS month, day(day)::INTEGER AS day FROM (SELECT row_id, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS day FROM r WHERE b > a AND date_diff('day', a, b) <= 14))"""
+
+
+@R.add(f"WITH {SQL_DAYS} SELECT * FROM days")
 def f10_span_days(t):
-    """The days that each printed date covers."""
+    """The days that each printed range covers."""
     return t.published.select("row_id", F.explode(T.span_days(F.col("date"))).alias("x")).select("row_id", "x.month", "x.day")
 
 
