@@ -125,17 +125,6 @@ def clean_line(line: str) -> tuple[str, list[str], bool]:
     return t, list(dict.fromkeys(links))[:12], good
 
 
-def sections(text: str) -> list[tuple[int, list[str], str]]:
-    """(line number, heading trail, line) of every bullet; a heading cuts the trail at its level."""
-    out, trail = [], []
-    for n, line in enumerate(text.split("\n")):
-        if m := re.match(r"^(={2,6})\s*(.*?)\s*\1\s*$", line):
-            trail = [*trail[: len(m.group(1)) - 2], m.group(2)]
-        elif line.startswith("*"):
-            out.append((n, list(trail), line))
-    return out
-
-
 def grid(text: str) -> list[list[list[str]]]:
     """Tables of a text as rows of cells, spans filled in."""
     tables, depth, start = [], 0, 0
@@ -217,6 +206,23 @@ def terms(text: str) -> tuple[list[tuple[int, int | None]], list[str]]:
     return good, vague
 
 
+def holder_terms(line: str) -> list[tuple[int, str, str, int | None, int | None, str | None]]:
+    """(place, person, post, start, end, vague part) of a line of an office list, a row per person and term."""
+    opened = line.rfind("(")
+    inside, before = (line[opened + 1 :].rstrip(" .)"), line[:opened]) if opened >= 0 and line.rstrip(" .").endswith(")") else ("", line)
+    before = re.sub(r"^[*:#\s]+", "", before)
+    persons, rest = [], before
+    while m := re.match(r"(?:\s*(?:,|and|&)\s*)?\[\[(?:[^\[\]|]*\|)?([^\[\]|]+)\]\]", rest):
+        persons.append(m.group(1).strip())
+        rest = rest[m.end() :]
+    if not persons:
+        name, _, rest = before.partition(",")
+        persons = [name.strip()] if name.strip() else []
+    post = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]+)\]\]", r"\1", rest).strip(" ,–—-")
+    good, vague = terms(inside)
+    return [(n, p, post, *t) for n, p in enumerate(persons) for t in [*((a, b, None) for a, b in good), *((None, None, v) for v in vague)]]
+
+
 _SKIP = ("script", "style", "nav", "header", "footer", "aside", "form", "noscript", "template")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -41,6 +43,16 @@ def x05_headings(t):
     return X.lines(raw(t), "doc_id", "text").select("doc_id", "n", "heading")
 
 
+@R.add(f"""
+WITH h AS (SELECT doc_id, n, length(regexp_extract(line, {HEAD}, 1)) AS level, regexp_extract(line, {HEAD}, 2) AS name FROM ({LINES}) WHERE regexp_matches(line, {HEAD})),
+l AS (SELECT * FROM ({LINES}) WHERE NOT regexp_matches(line, {HEAD})),
+t AS (SELECT l.doc_id, l.n, string_agg(h.name, ' › ' ORDER BY h.level) AS trail FROM l JOIN h ON h.doc_id = l.doc_id AND h.n < l.n AND NOT EXISTS (SELECT 1 FROM h o WHERE o.doc_id = h.doc_id AND o.n > h.n AND o.n < l.n AND o.level <= h.level) GROUP BY 1, 2)
+SELECT doc_id, n::INTEGER AS n, coalesce(trail, '') AS trail FROM l LEFT JOIN t USING (doc_id, n)""")
+def x05_trails(t):
+    """The headings above each line of a raw text, one per level."""
+    return X.sections(raw(t), "doc_id", "text").select("doc_id", "n", F.array_join("trail", " › ").alias("trail"))
+
+
 _M = "|".join(MONTHS)
 
 
@@ -57,11 +69,20 @@ def x07_leading_dates(t):
     return dated(t).select("row_id", "month", "day")
 
 
-@R.add("SELECT row_id, starts_with(source_title, year::VARCHAR) OR contains(source_title, year_label) AS titled, starts_with(coalesce(text, ''), year::VARCHAR) AS led FROM published WHERE source_title IS NOT NULL AND year_label IS NOT NULL")
+_N = "CASE WHEN year > 0 THEN year ELSE abs(year) + 1 END"
+SQL_TITLES = f"CASE WHEN year > 0 THEN [{_N} || '', 'AD ' || {_N}, {_N} || ' AD', {_N} || ' events'] ELSE [{_N} || ' BC', {_N} || ' BCE', {_N} || ' BC events'] END"
+
+
+@R.add(rf"""
+WITH x AS (SELECT row_id, year, source_title, coalesce(text, '') AS text, string_split(coalesce(source_section, ''), ' › ') AS trail, {SQL_TITLES} AS titles,
+ '(?is)^(?:c\.|circa|ca\.)?\s*(?:AD\s+)?' || {_N} || CASE WHEN year > 0 THEN '(?:\s*(?:AD|CE))?' ELSE '\s*(?:BCE?)' END || '\s*[:–—-]\s*(.*)$' AS begins FROM published WHERE year IS NOT NULL)
+SELECT row_id, coalesce(list_contains(titles, trim(source_title)), false) OR list_has_any(list_transform(titles, lambda s: lower(s)), list_transform(trail, lambda s: lower(trim(s))))
+ OR (regexp_matches(text, begins) AND NOT regexp_matches(regexp_extract(text, begins, 1), '(?i)^\d{{1,4}}\s*(?:BCE?|AD)?\s*[:–—-]')) AS about FROM x""")
 def x08_year_scope(t):
-    """Whether a row's source is about its year, by title or by the line's beginning."""
-    y = F.col("year").cast("string")
-    return t.published.where("source_title is not null and year_label is not null").select("row_id", (F.startswith("source_title", y) | F.contains("source_title", "year_label")).alias("titled"), F.startswith(F.coalesce("text", F.lit("")), y).alias("led"))
+    """Whether a row is about its year: by its source's title, by a heading above it, or by how it begins."""
+    x = t.published.where("year is not null")
+    trail = F.split(F.coalesce("source_section", F.lit("")), " › ")
+    return x.select("row_id", (F.coalesce(F.array_contains(X.titles_of(F.col("year")), F.trim("source_title")), F.lit(False)) | X.about_year(F.col("year"), trail, F.coalesce("text", F.lit("")))).alias("about"))
 
 
 @R.add()
@@ -70,14 +91,32 @@ def x09_claims(t):
     return X.claims(raw(t), "doc_id", "text", "year")
 
 
-@R.add()
+_D = f"(?:{_M}) \\d{{1,2}}|\\d{{1,2}} (?:{_M})"
+#: Holds where raw texts have single bullets, one level of headings and no headers of days, as the driver's have; the fixtures in the tests have all of these.
+SQL_CLAIMS = rf"""
+WITH l AS (SELECT doc_id, n, line, last_value(CASE WHEN regexp_matches(line, {HEAD}) THEN lower(regexp_extract(line, {HEAD}, 2)) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS top FROM ({LINES})),
+s AS (SELECT doc_id, n, top, line, trim(regexp_replace({sql_plain('line')}, '\s+', ' ', 'g')) AS said FROM l WHERE starts_with(line, '*') AND top IS NOT NULL AND top NOT IN ({', '.join(f"'{a}'" for a in X.APPARATUS)})),
+b AS (SELECT *, trim(regexp_replace(said, '^(?:{_D}|(?:{_M}))\b\s*(?:[-–—:]\s*)?', '')) AS body FROM s),
+g AS (SELECT *, row_number() OVER (PARTITION BY doc_id, left(lower(said), 120) ORDER BY n) AS k FROM b WHERE length(said) BETWEEN 30 AND 1200 AND length(trim(line[2:])) >= 25 AND regexp_matches(said, '[a-zA-Z]{{3}}') AND length(regexp_replace(said, '^(?:{_D}|(?:{_M}))\s*[–—-]\s*', '')) >= 12
+ AND NOT regexp_matches(regexp_replace(said, '^(?:{_D}|(?:{_M}))\s*[–—-]\s*', ''), '[\[\]{{}}|]|^[,;.:)]|:$') AND length(said) - length(replace(said, '(', '')) = length(said) - length(replace(said, ')', '')) AND length(said) - length(replace(said, '“', '')) = length(said) - length(replace(said, '”', '')))
+SELECT doc_id, coalesce((SELECT year FROM documents d WHERE d.doc_id = g.doc_id) || ':', '') || left(sha1(said), 12) AS id, n::INTEGER AS n, said AS text, body FROM g WHERE k = 1 AND length(body) >= 20"""
+
+
+@R.add(SQL_CLAIMS)
+def x09_claim_texts(t):
+    """Ids, sentences and their bodies without the leading date of the claims of all raw texts."""
+    return X.claims(raw(t), "doc_id", "text", "year").select("doc_id", "id", "n", "text", "body")
+
+
+@R.add(rf"SELECT doc_id, n::INTEGER AS n, trim(regexp_replace(regexp_replace(regexp_replace(line, '<ref[^>/]*/>', '', 'g'), '<ref[^>]*>[^<]*</ref>', '', 'g'), '\{{\{{[^{{}}]*\}}\}}', '', 'g')) AS said FROM ({LINES}) WHERE trim(line) <> ''")
 def x02_templates(t):
-    """Raw texts' templates resolved: how many lines are left clean (x02, x03, x04)."""
+    """Lines of raw texts with their templates, measures and media resolved (x02, x03, x04)."""
 
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(lambda x: sum(W.templates(W.without_media(line))[1] for line in x.split("\n")))
+    def run(line: pd.Series) -> pd.Series:
+        return line.map(lambda x: W.templates(re.sub(r"(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "", W.without_media(x)))[0].strip())
 
-    return raw(t).select("doc_id", F.pandas_udf(run, "int")("text").alias("clean"))
+    rows = raw(t).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where("trim(line) <> ''")
+    return rows.select("doc_id", "n", F.trim(F.pandas_udf(run, "string")("line")).alias("said"))
 
 
 @R.add(r"""
@@ -134,6 +173,18 @@ def x16_holders(t):
     return t.stateleaders.where("quote is not null").select("term_id", F.trim(F.split_part(q, F.lit(","), F.lit(1))).alias("holder"), F.trim(F.regexp_extract(q, r"^[^,]*,([^(]*)", 1)).alias("post"), F.size(F.regexp_extract_all(q, F.lit(r"[0-9]{1,4}\s*[–-]"), F.lit(0))).alias("ranges"))
 
 
+@R.add()
+def x13_wikitables(t):
+    """Cells of the tables in raw texts, spans filled in."""
+    return X.tables(raw(t), "doc_id", "text")
+
+
+@R.add()
+def x16_holder_terms(t):
+    """Persons, post and terms of each quoted line, and what in it is too vague to be a term."""
+    return X.holders(t.stateleaders.select("term_id", "quote"), "term_id", "quote")
+
+
 @R.add(f"SELECT doc_id, count(*) FILTER (contains({sql_plain('line')}, '[[') OR contains({sql_plain('line')}, '{{{{'))::BIGINT AS residue, count(*) AS lines FROM ({LINES}) GROUP BY doc_id")
 def x17_residue(t):
     """Lines of raw texts that still hold markup after a naive strip."""
