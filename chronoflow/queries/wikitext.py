@@ -43,9 +43,12 @@ def x05_headings(t):
     return X.lines(raw(t), "doc_id", "text").select("doc_id", "n", "heading")
 
 
+HEADING = "'^(={2,6})\\s*(.+?)\\s*(={2,6})\\s*$'"
+
+
 @R.add(f"""
-WITH h AS (SELECT doc_id, n, length(regexp_extract(line, {HEAD}, 1)) AS level, regexp_extract(line, {HEAD}, 2) AS name FROM ({LINES}) WHERE regexp_matches(line, {HEAD})),
-l AS (SELECT * FROM ({LINES}) WHERE NOT regexp_matches(line, {HEAD})),
+WITH h AS (SELECT doc_id, n, length(regexp_extract(line, {HEADING}, 1)) AS level, regexp_extract(line, {HEADING}, 2) AS name FROM ({LINES}) WHERE regexp_matches(line, {HEADING})),
+l AS (SELECT * FROM ({LINES}) WHERE NOT regexp_matches(line, {HEADING})),
 t AS (SELECT l.doc_id, l.n, string_agg(h.name, ' › ' ORDER BY h.level) AS trail FROM l JOIN h ON h.doc_id = l.doc_id AND h.n < l.n AND NOT EXISTS (SELECT 1 FROM h o WHERE o.doc_id = h.doc_id AND o.n > h.n AND o.n < l.n AND o.level <= h.level) GROUP BY 1, 2)
 SELECT doc_id, n::INTEGER AS n, coalesce(trail, '') AS trail FROM l LEFT JOIN t USING (doc_id, n)""")
 def x05_trails(t):
@@ -91,29 +94,12 @@ def x09_claims(t):
     return X.claims(raw(t), "doc_id", "text", "year")
 
 
-_D = f"(?:{_M}) \\d{{1,2}}|\\d{{1,2}} (?:{_M})"
-#: Holds where raw texts have single bullets, one level of headings and no headers of days, as the driver's have; the fixtures in the tests have all of these.
-SQL_CLAIMS = rf"""
-WITH l AS (SELECT doc_id, n, line, last_value(CASE WHEN regexp_matches(line, {HEAD}) THEN lower(regexp_extract(line, {HEAD}, 2)) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS top FROM ({LINES})),
-s AS (SELECT doc_id, n, top, line, trim(regexp_replace({sql_plain('line')}, '\s+', ' ', 'g')) AS said FROM l WHERE starts_with(line, '*') AND top IS NOT NULL AND top NOT IN ({', '.join(f"'{a}'" for a in X.APPARATUS)})),
-b AS (SELECT *, trim(regexp_replace(said, '^(?:{_D}|(?:{_M}))\b\s*(?:[-–—:]\s*)?', '')) AS body FROM s),
-g AS (SELECT *, row_number() OVER (PARTITION BY doc_id, left(lower(said), 120) ORDER BY n) AS k FROM b WHERE length(said) BETWEEN 30 AND 1200 AND length(trim(line[2:])) >= 25 AND regexp_matches(said, '[a-zA-Z]{{3}}') AND length(regexp_replace(said, '^(?:{_D}|(?:{_M}))\s*[–—-]\s*', '')) >= 12
- AND NOT regexp_matches(regexp_replace(said, '^(?:{_D}|(?:{_M}))\s*[–—-]\s*', ''), '[\[\]{{}}|]|^[,;.:)]|:$') AND length(said) - length(replace(said, '(', '')) = length(said) - length(replace(said, ')', '')) AND length(said) - length(replace(said, '“', '')) = length(said) - length(replace(said, '”', '')))
-SELECT doc_id, coalesce((SELECT year FROM documents d WHERE d.doc_id = g.doc_id) || ':', '') || left(sha1(said), 12) AS id, n::INTEGER AS n, said AS text, body FROM g WHERE k = 1 AND length(body) >= 20"""
-
-
-@R.add(SQL_CLAIMS)
-def x09_claim_texts(t):
-    """Ids, sentences and their bodies without the leading date of the claims of all raw texts."""
-    return X.claims(raw(t), "doc_id", "text", "year").select("doc_id", "id", "n", "text", "body")
-
-
-@R.add(rf"SELECT doc_id, n::INTEGER AS n, trim(regexp_replace(regexp_replace(regexp_replace(line, '<ref[^>/]*/>', '', 'g'), '<ref[^>]*>[^<]*</ref>', '', 'g'), '\{{\{{[^{{}}]*\}}\}}', '', 'g')) AS said FROM ({LINES}) WHERE trim(line) <> ''")
+@R.add(rf"SELECT doc_id, n::INTEGER AS n, trim(regexp_replace(regexp_replace(regexp_replace(line, '(?i)<ref[^>/]*/>', '', 'g'), '(?i)<ref[^>]*>[^<]*</ref>', '', 'g'), '\{{\{{[^{{}}]*\}}\}}', '', 'g')) AS said FROM ({LINES}) WHERE trim(line) <> ''")
 def x02_templates(t):
     """Lines of raw texts with their templates, measures and media resolved (x02, x03, x04)."""
 
     def run(line: pd.Series) -> pd.Series:
-        return line.map(lambda x: W.templates(re.sub(r"(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "", W.without_media(x)))[0].strip())
+        return line.map(lambda x: W.templates(re.sub(r"(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "", W.without_media(x)))[0])
 
     rows = raw(t).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where("trim(line) <> ''")
     return rows.select("doc_id", "n", F.trim(F.pandas_udf(run, "string")("line")).alias("said"))
