@@ -9,13 +9,17 @@ range-partitioned by (contributor, score desc, id), so a hot contributor spreads
 partitions; counts per partition and contributor (a small table) tell in which partition each
 cutoff lies, and only that partition's rows are ranked.
 
+A state can live in a folder: ``CappedState.open`` starts one or takes up the last version that was
+written whole, and every batch absorbed is a new version (kept records, cutoffs, what the batch
+displaced), marked as done last, so a run that dies halfway leaves the version before it.
+
 The cutoffs are broadcast: only contributors with at least ``cap`` kept records have one, so there
 are at most (records / cap) of them; beyond ``MAX_BROADCAST`` they are joined by shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoflow.plans.staging import Stage
@@ -38,9 +42,55 @@ class CappedState:
 
     def __init__(self, stage: Stage, cap: int):
         self.stage, self.cap, self.kept, self.cuts, self.logged = stage, cap, None, None, []
+        self.folder, self.version, self.n_cuts = None, 0, 0
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, cap: int) -> CappedState:
+        """The state in ``folder`` (shared by all executors), or a new one there. An existing one must have the same cap."""
+        state = cls(Stage(spark, "capping"), cap)
+        state.folder = folder.rstrip("/")
+        path = spark._jvm.org.apache.hadoop.fs.Path(state.folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        done = [int(n[1:]) for n in found if n[0] == "v" and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{state.folder}/{n}/done/_SUCCESS"))]
+        if done:
+            state.version = max(done)
+            about = spark.read.parquet(state._path("done")).first()
+            if about.cap != cap:
+                raise ValueError(f"the state in {folder} has a cap of {about.cap}, not {cap}")
+            state.n_cuts = about.cuts
+            state.kept = spark.read.parquet(state._path("kept"))
+            state.cuts = spark.read.parquet(state._path("cuts")) if about.cuts else None
+            state.logged = [spark.read.parquet(state._path("log", v)) for v in sorted(done)]
+        return state
+
+    def _path(self, what: str, version: int | None = None) -> str:
+        return f"{self.folder}/v{version or self.version:06d}/{what}"
+
+    def _save(self, before: int) -> None:
+        """Write what a batch changed as the next version; the mark comes last."""
+        spark = self.stage.spark
+        self.version += 1
+        log = self.kept.where(F.lit(False)).select("c", "t")
+        for part in self.logged[before:]:
+            log = log.unionByName(part)
+        tables = {"kept": self.kept, "log": log, **({"cuts": self.cuts} if self.cuts is not None else {})}
+        for name, table in tables.items():
+            table.write.mode("overwrite").option("compression", "zstd").parquet(self._path(name))
+        spark.createDataFrame([(self.cap, self.n_cuts)], "cap bigint, cuts bigint").coalesce(1).write.mode("overwrite").parquet(self._path("done"))
+        self.kept, self.logged = spark.read.parquet(self._path("kept")), [*self.logged[:before], spark.read.parquet(self._path("log"))]
+        if self.cuts is not None:
+            self.cuts = spark.read.parquet(self._path("cuts"))
+        self.stage.clear()
 
     def absorb(self, batch: DataFrame) -> None:
-        """Merge a batch with columns c (contributor), s (score), t (id)."""
+        """Merge a batch with columns c (contributor), s (score), t (id). A null score ranks as minus infinity."""
+        before = len(self.logged)
+        self._absorb(batch)
+        if self.folder:
+            self._save(before)
+
+    def _absorb(self, batch: DataFrame) -> None:
         stage, cap = self.stage, self.cap
         if self.cuts is not None:
             cuts = self.cuts if self.n_cuts > MAX_BROADCAST else F.broadcast(self.cuts)
@@ -84,6 +134,17 @@ class CappedState:
         return log
 
 
+def records(df: DataFrame, contributor: Column, score: str, tie: str, arrival: str | None = None) -> DataFrame:
+    """c, s, t, a: records as a state absorbs them; null and NaN scores become minus infinity, records without contributor are left out."""
+    s = F.col(f"`{score}`").cast("double")
+    return df.select(
+        contributor.alias("c"),
+        F.when(s.isNull() | F.isnan(s), F.lit(float("-inf"))).otherwise(s).alias("s"),
+        F.col(f"`{tie}`").alias("t"),
+        (F.unix_timestamp(F.col(f"`{arrival}`")).cast("double") if arrival else F.lit(None).cast("double")).alias("a"),
+    ).where(F.col("c").isNotNull())
+
+
 def cap_contributors(df: DataFrame, contributor: Column, score: str, tie: str, cap: int, arrival: str | None = None, batches: int = 3) -> CappedState:
     """Feed ``df`` batch by batch (in order of ``arrival``, nulls last) into a state with ``cap``.
 
@@ -91,13 +152,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, tie: str, c
     empty state. Columns other than those named are not read.
     """
     stage = Stage(df.sparkSession, "capping")
-    s = F.col(f"`{score}`").cast("double")
-    rows = df.select(
-        contributor.alias("c"),
-        F.when(s.isNull() | F.isnan(s), F.lit(float("-inf"))).otherwise(s).alias("s"),
-        F.col(f"`{tie}`").alias("t"),
-        (F.unix_timestamp(F.col(f"`{arrival}`")).cast("double") if arrival else F.lit(None).cast("double")).alias("a"),
-    ).where(F.col("c").isNotNull())
+    rows = records(df, contributor, score, tie, arrival)
     state = CappedState(stage, cap)
     if cap <= 0:
         state.kept = rows.where(F.lit(False)).select("c", "s", "t")
