@@ -20,18 +20,33 @@ def tokens_of(docs: DataFrame, doc: str, tokens) -> DataFrame:
     return docs.select(F.col(doc).alias("doc"), F.explode(tokens).alias("token"))
 
 
-def under_ceiling(tokens: DataFrame, documents, share: int = 5) -> DataFrame:
-    """Tokens in at most one of ``share`` documents."""
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return tokens.join(df.where(F.col("df") <= F.floor(documents / share)), "token")
+def postings(tokens: DataFrame, documents, share: int = 5) -> DataFrame:
+    """token, bucket (first character), shard, docs in order: lists of the tokens in at most one of ``share`` documents.
+
+    Tokens are met once: a token's frequency is the sum of its lists' lengths. A list holds the
+    documents of one shard, so none is longer than a shard.
+    """
+    lists = tokens.groupBy("token", F.floor(F.col("doc") / SHARD).alias("shard")).agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    df = F.sum(F.size("docs").cast("bigint")).over(Window.partitionBy("token"))
+    return lists.withColumn("df", df).where(F.col("df") <= F.floor(documents / share)).select("token", F.left("token", F.lit(1)).alias("bucket"), "shard", "docs")
+
+
+def write_index(docs: DataFrame, tokens: DataFrame, path: str, share: int = 5) -> None:
+    """Store postings by bucket, documents (doc, year, text) by shard, and their number."""
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    postings(tokens, n, share).repartition("bucket", "token").write.partitionBy("bucket").parquet(f"{path}/postings")
+    docs.withColumn("shard", F.floor(F.col("doc") / SHARD)).repartition("shard").write.partitionBy("shard").parquet(f"{path}/documents")
+    docs.agg(F.count(F.lit(1)).alias("n"), F.lit(share).alias("share")).coalesce(1).write.parquet(f"{path}/about")
 
 
-def postings(tokens: DataFrame) -> DataFrame:
-    """token, bucket (first character), shard, documents in order."""
-    return (
-        tokens.groupBy("token", F.left("token", F.lit(1)).alias("bucket"), F.floor(F.col("doc") / SHARD).alias("shard"))
-        .agg(F.array_sort(F.collect_list("doc")).alias("docs"))
-    )
+def search_index(spark: SparkSession, path: str, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``search`` over a stored index: of the postings only the buckets and tokens asked for are read."""
+    about = spark.read.parquet(f"{path}/about").first()
+    forms = sorted({r.form for r in query_terms(spark, queries).collect()})  # as many as the queries have words
+    lists = spark.read.parquet(f"{path}/postings").where(F.col("bucket").cast("string").isin(sorted({f[0] for f in forms})) & F.col("token").isin(forms))
+    met = lists.select("token", F.explode("docs").alias("doc"))
+    docs = spark.read.parquet(f"{path}/documents")
+    return search(docs, met, queries, limit, first, last, share=about.share, documents=about.n)
 
 
 def query_terms(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
@@ -49,7 +64,7 @@ def query_terms(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, "q string, word int, form string")
 
 
-def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None, share: int = 5) -> DataFrame:
+def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None, share: int = 5, documents: int | None = None) -> DataFrame:
     """q, doc, score, place: the best ``limit`` documents (doc, year, text) for each query.
 
     A word counts with ln(documents / documents that hold one of its forms). Documents with all words
@@ -57,7 +72,7 @@ def search(docs: DataFrame, tokens: DataFrame, queries: dict[str, str], limit: i
     300 more the earlier it stands; one of the year that is the query gets 2000. Ties by year, then doc.
     """
     spark = docs.sparkSession
-    n = docs.agg(F.count(F.lit(1))).scalar()
+    n = docs.agg(F.count(F.lit(1))).scalar() if documents is None else F.lit(documents)
     terms = query_terms(spark, queries)
     # only the words asked for are looked at; those in more than a share of the documents separate nothing
     met = tokens.join(F.broadcast(terms.select(F.col("form").alias("token")).distinct()), "token")
