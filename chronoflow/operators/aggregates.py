@@ -45,7 +45,9 @@ def most_frequent(df: DataFrame, key: Column, spelling: str) -> DataFrame:
 
 def rebaselined(df: DataFrame, period: Column, value: str, in_base: Column, within: list[str] = []) -> DataFrame:  # noqa: B006
     """Series minus its mean over the base period, per ``within``."""
-    base = F.avg(F.when(in_base, F.col(value))).over(Window.partitionBy(*within) if within else Window.partitionBy(F.lit(1)))
+    mean = F.avg(F.when(in_base, F.col(value)))
+    # without groups the mean is one number, never a window over the whole series
+    base = mean.over(Window.partitionBy(*within)) if within else df.agg(mean.alias("m")).scalar()
     return df.withColumn("anomaly", F.round(F.col(value) - base, 4))
 
 

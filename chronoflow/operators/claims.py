@@ -47,3 +47,12 @@ def coverage(claims: DataFrame, rows: DataFrame, least: float = 0.5) -> DataFram
     met = words.join(F.broadcast(t), "meet").select("claim", "row_id", "token", "tokens", "numbers").distinct()
     got = met.groupBy("claim", "row_id", "tokens", "numbers").agg(F.count(F.lit(1)).alias("covered"), F.count_if(number(F.col("token"))).alias("n"))
     return got.where((F.col("n") == F.col("numbers")) & (F.col("covered") >= F.col("tokens") * least)).select("claim", "row_id", "covered", F.col("tokens").cast("bigint").alias("tokens"))
+
+
+def disagreements(terms: DataFrame, note: int = 25, now: int = 2026) -> DataFrame:
+    """term_id, gap, class: holders whose terms and confirmed years differ by more than a year at either end; from ``note`` years on a note."""
+    own = terms.select("term_id", F.explode("terms").alias("x")).select("term_id", F.get("x", 0).alias("s"), F.coalesce(F.get("x", 1), F.lit(now)).alias("e")).where("s <= e")
+    a = own.groupBy("term_id").agg(F.min("s").alias("s1"), F.max("e").alias("e1"))
+    b = terms.select("term_id", F.array_min("years").alias("s2"), F.array_max("years").alias("e2")).where("s2 is not null")
+    gap = F.greatest(F.abs(F.col("s1") - F.col("s2")), F.abs(F.col("e1") - F.col("e2")))
+    return a.join(b, "term_id").select("term_id", gap.alias("gap")).where("gap > 1").withColumn("class", F.when(F.col("gap") >= note, "note").otherwise("gap"))

@@ -20,6 +20,10 @@ TOP_NGRAMS = {2: 0.20, 3: 0.18, 4: 0.16}
 REPEATED_NGRAMS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 
 
+#: What lines on policies hold.
+POLICY = "terms of use|privacy policy|cookie policy|uses cookies|use of cookies|use cookies"
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^ \t\r\n\f]+"), F.lit(0))
 
@@ -41,7 +45,7 @@ def measures(text: Column) -> dict[str, Column]:
     line_chars = F.aggregate(l, F.lit(0), lambda a, x: a + F.length(x))
     count = lambda xs, f: F.size(F.filter(xs, f))
     of = lambda s: F.length(text) - F.length(F.replace(text, F.lit(s), F.lit("")))
-    clean = F.filter(l, lambda x: ~F.contains(F.lower(x), F.lit("javascript")) & ~F.lower(x).rlike("terms of use|privacy policy|cookie policy|uses cookies|use of cookies|use cookies"))
+    clean = F.filter(l, lambda x: ~F.contains(F.lower(x), F.lit("javascript")) & ~F.lower(x).rlike(POLICY))
     joined = F.array_join(clean, "\n")
     return {
         "words": n,

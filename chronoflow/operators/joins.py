@@ -41,6 +41,26 @@ def overlapping(left: DataFrame, right: DataFrame, by: list[str], l_span: tuple[
     return met.where(F.col("block") == F.floor(F.greatest(l_span[0], r_span[0]) / width)).drop("block")
 
 
+def overlap_counts(left: DataFrame, right: DataFrame, by: str, l_span: tuple[str, str], r_span: tuple[str, str]) -> DataFrame:
+    """Left columns, ``by``, n: how many right spans of each value of ``by`` overlap each left span, where any does.
+
+    No pair is built: spans that began by a left span's end, less those that ended before its start,
+    are running sums over the axis, looked up as of those two places. ``by`` has few values.
+    """
+    if by in left.columns:
+        raise ValueError(f"column {by!r} of the left side is taken")
+
+    def running(at: str) -> DataFrame:
+        n = right.groupBy(by, F.col(at).cast("bigint").alias("at")).agg(F.count(F.lit(1)).alias("c"))
+        return n.withColumn("so_far", F.sum("c").over(Window.partitionBy(by).orderBy("at"))).drop("c")
+
+    each = left.withColumn(by, F.explode(right.agg(F.collect_set(by)).scalar()))
+    begun = as_of(each.withColumn("at", F.col(l_span[1]).cast("bigint")), running(r_span[0]), [by], "at", ["so_far"]).withColumnRenamed("so_far", "begun").drop("as_of", "at")
+    ended = as_of(begun.withColumn("at", F.col(l_span[0]).cast("bigint") - 1), running(r_span[1]), [by], "at", ["so_far"]).withColumnRenamed("so_far", "ended").drop("as_of", "at")
+    n = F.coalesce("begun", F.lit(0)) - F.coalesce("ended", F.lit(0))
+    return ended.select(*left.columns, by, n.alias("n")).where("n > 0")
+
+
 def agreement(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Keys with a status: same, different, only left, only right (full outer join, null-safe values)."""
     l = left.select(*keys, F.struct(value).alias("l"))  # noqa: E741

@@ -134,17 +134,16 @@ def c05_verdicts(t):
     return x.select("claim", F.when(F.col("whole").isNull(), "no_evidence").when(F.col("whole") == 0, "partial_matches").when(F.col("same") == 1, "matched_same_year").when(F.col("when").isNull(), "evidence_only").otherwise("matched_other_years").alias("verdict"))
 
 
-@R.add("""
+SQL_LEDGER = """
 WITH t AS (SELECT term_id, min(x[1]) AS s, max(coalesce(x[2], 2026)) AS e FROM (SELECT term_id, unnest(terms) AS x FROM stateleaders) WHERE x[1] <= coalesce(x[2], 2026) GROUP BY 1),
 y AS (SELECT term_id, min(v) AS s, max(v) AS e FROM (SELECT term_id, unnest(years) AS v FROM stateleaders) GROUP BY 1)
-SELECT term_id, greatest(abs(t.s - y.s), abs(t.e - y.e))::INTEGER AS gap, CASE WHEN greatest(abs(t.s - y.s), abs(t.e - y.e)) >= 25 THEN 'note' ELSE 'gap' END AS class FROM t JOIN y USING (term_id) WHERE greatest(abs(t.s - y.s), abs(t.e - y.e)) > 1""")
+SELECT term_id, greatest(abs(t.s - y.s), abs(t.e - y.e))::INTEGER AS gap, CASE WHEN greatest(abs(t.s - y.s), abs(t.e - y.e)) >= 25 THEN 'note' ELSE 'gap' END AS class FROM t JOIN y USING (term_id) WHERE greatest(abs(t.s - y.s), abs(t.e - y.e)) > 1"""
+
+
+@R.add(SQL_LEDGER)
 def c07_disagreements(t):
     """Holders whose terms and confirmed years differ by more than a year."""
-    terms = t.stateleaders.select("term_id", F.explode("terms").alias("x")).select("term_id", F.get("x", 0).alias("s"), F.coalesce(F.get("x", 1), F.lit(2026)).alias("e")).where("s <= e")
-    a = terms.groupBy("term_id").agg(F.min("s").alias("s1"), F.max("e").alias("e1"))
-    b = t.stateleaders.select("term_id", F.array_min("years").alias("s2"), F.array_max("years").alias("e2")).where("s2 is not null")
-    gap = F.greatest(F.abs(F.col("s1") - F.col("s2")), F.abs(F.col("e1") - F.col("e2")))
-    return a.join(b, "term_id").select("term_id", gap.alias("gap")).where("gap > 1").withColumn("class", F.when(F.col("gap") >= 25, "note").otherwise("gap"))
+    return C.disagreements(t.stateleaders)
 
 
 # benchmark

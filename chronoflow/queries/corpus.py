@@ -113,6 +113,18 @@ for _name, _column, _condition, _doc in (
     _measure(_name, _column, _condition, _doc)
 
 
+SQL_STRICT = r"""len(regexp_extract_all(array_to_string(list_filter(kept, lambda s: regexp_matches(s, '[.!?"”]$')), chr(10)), '[.!?]+(?:[ \n”"]|$)'))::INTEGER"""
+
+
+@R.add(f"WITH {SQL_BASE} SELECT doc_id, {SQL_STRICT} AS sentences, {SQL_STRICT} < 3 AS fails FROM c")
+def g18_strict(t):
+    """Sentences left when lines that end no sentence are dropped too (the strict rule)."""
+    x = F.coalesce("text", F.lit(""))
+    kept = F.filter(G.lines(x), lambda s: ~F.contains(F.lower(s), F.lit("javascript")) & ~F.lower(s).rlike(G.POLICY) & s.rlike(r"[.!?\"”]$"))
+    n = F.size(F.regexp_extract_all(F.array_join(kept, "\n"), F.lit(r"[.!?]+(?:[ \n”\"]|$)"), F.lit(0)))
+    return t.documents.select("doc_id", n.alias("sentences"), (n < 3).alias("fails"))
+
+
 @R.add(f"WITH {SQL_NGRAMS} SELECT *, CASE {' '.join(f"WHEN {c} THEN '{n}'" for n, c in G.NGRAMS)} ELSE 'pass' END AS verdict FROM wide")
 def g06_repetition(t):
     """Shares of characters in the most frequent and in repeated word n-grams (g06 and g07)."""
@@ -236,20 +248,40 @@ def filter02_date_like(t):
     return links.select("link", F.col("link").rlike(rf"^(?:[0-9]{{1,4}}( BC)?|(?:{_MONTHS})( [0-9]{{1,2}})?|[0-9]+s|[0-9]+(st|nd|rd|th) century)$").alias("date_like"))
 
 
-@R.add("SELECT slug FROM subjects WHERE length(label) BETWEEN 3 AND 70 AND regexp_matches(label, '^\\p{Lu}') AND NOT regexp_matches(label, '^(List|Category|Timeline)\\b') AND NOT contains(label, ':')")
+#: What no page is made for, by form, by beginning, by name.
+NOT_WANTED = rf"^(?:(?:{_MONTHS})\s+[0-9]{{1,2}}|[0-9]{{1,4}}(\s*(BC|BCE|AD|CE))?|(AD|CE|BC|BCE)\s*[0-9]{{1,4}}|[0-9]{{1,2}}(st|nd|rd|th)\s+century|[0-9]+s)$|^(List of|Category:|File:|Image:|Template:)|^(Nobility|Roman Catholic|Catholic Church)$"
+
+
+@R.add(f"SELECT label FROM (SELECT label FROM subjects UNION SELECT unnest(links) FROM published UNION SELECT year_label FROM published UNION SELECT date FROM published) WHERE length(label) BETWEEN 3 AND 70 AND regexp_matches(label, '^\\p{{Lu}}') AND NOT regexp_matches(label, '{NOT_WANTED}')")
 def filter03_wanted(t):
-    """Subjects that may have a page."""
-    return t.subjects.where(F.length("label").between(3, 70) & F.col("label").rlike(r"^\p{Lu}") & ~F.col("label").rlike(r"^(List|Category|Timeline)\b") & ~F.contains("label", F.lit(":"))).select("slug")
+    """Names of subjects, links, years and dates that may have a page: of fit length, a capital first, no date, year, list or namespace."""
+    p = t.published
+    names = t.subjects.select("label").unionByName(p.select(F.explode("links").alias("label"))).unionByName(p.select(F.col("year_label").alias("label"))).unionByName(p.select(F.col("date").alias("label"))).distinct()
+    return names.where(F.length("label").between(3, 70) & F.col("label").rlike(r"^\p{Lu}") & ~F.col("label").rlike(NOT_WANTED))
+
+
+_DAYS = r"[0-9]{1,2}"
+_DASH = r"\s*[–—-]\s*"
+#: What stands before a sentence to date it.
+DATE_PREFIX = rf"^(?:(?:{_DAYS}(?:{_DASH}{_DAYS})?\s+)?(?:{_MONTHS})(?:\s+{_DAYS})?(?:{_DASH}(?:(?:{_MONTHS})\s*)?{_DAYS}(?:\s+(?:{_MONTHS}))?)?(?:\s*\([^)]*\))?|(?:Approximate|Probable) date|(?:Early|Late|Mid)?\s*(?:Spring|Summer|Autumn|Winter|{_MONTHS})){_DASH}"
+#: Signs that a clue gives its year away or keeps a date before it.
+TELLING = rf"[0-9]{{3,}}|^[^:]{{0,40}}\b(?:{_MONTHS})\b[^:]{{0,15}}[–—-]|^c\.\s|(?i)century|['’‘][0-9]{{2}}\b|\b[0-9]{{2}}s\b|[0-9]+(?:st|nd|rd|th)\s+(?:anniversary|birthday)"
+
+
+def _thrice(c: str) -> str:
+    for _ in range(3):
+        c = f"trim(regexp_replace({c}, '{DATE_PREFIX}', ''))"
+    return c
 
 
-@R.add(rf"""
-WITH x AS (SELECT row_id, regexp_replace(text, '^((?:{_MONTHS}) [0-9]{{1,2}}|[0-9]{{1,2}} (?:{_MONTHS}))( [–—-]|,|:) ', '') AS clue FROM published WHERE kind = 'event')
-SELECT row_id, clue FROM x WHERE NOT regexp_matches(clue, '[0-9]{{3,}}') AND length(clue) BETWEEN 50 AND 240 AND regexp_matches(clue, '^\p{{Lu}}') AND NOT contains(lower(clue), 'century')""")
+@R.add(f"WITH x AS (SELECT row_id, {_thrice('text')} AS clue FROM published WHERE kind = 'event') SELECT row_id, clue FROM x WHERE length(clue) BETWEEN 50 AND 240 AND regexp_matches(clue, '^\\p{{Lu}}') AND NOT regexp_matches(clue, '{TELLING.replace(chr(39), chr(39) * 2)}')")
 def filter04_clues(t):
-    """Events that make a clue: no long numbers, of fit length, beginning with a capital."""
-    clue = F.regexp_replace("text", rf"^((?:{_MONTHS}) [0-9]{{1,2}}|[0-9]{{1,2}} (?:{_MONTHS}))( [–—-]|,|:) ", "")
+    """Events that make a clue: dates before them taken off, of fit length, beginning with a capital, not telling their year."""
+    clue = F.col("text")
+    for _ in range(3):
+        clue = F.trim(F.regexp_replace(clue, DATE_PREFIX, ""))
     x = t.published.where("kind = 'event'").select("row_id", clue.alias("clue"))
-    return x.where(~F.col("clue").rlike("[0-9]{3,}") & F.length("clue").between(50, 240) & F.col("clue").rlike(r"^\p{Lu}") & ~F.contains(F.lower("clue"), F.lit("century")))
+    return x.where(F.length("clue").between(50, 240) & F.col("clue").rlike(r"^\p{Lu}") & ~F.col("clue").rlike(TELLING))
 
 
 @R.add(r"""
@@ -277,16 +309,36 @@ def filter06_unambiguous(t):
     return h.where(F.col("qid").isNotNull() & inside).join(n, ["state_link", "office", "year"], "left_semi").select("term_id", "year")
 
 
-SQL_SHAPE = """CASE WHEN text IS NULL THEN 'missing' WHEN trim(text) = '' THEN 'blank' WHEN length(text) < 30 THEN 'short' WHEN length(text) > 300 THEN 'long' WHEN contains(text, '{{') OR contains(text, '[[') THEN 'markup' WHEN regexp_matches(text, '^[a-z]') THEN 'small initial'
- WHEN regexp_matches(text, '[,;:]$') THEN 'open end' WHEN contains(text, '  ') THEN 'double blank' WHEN NOT regexp_matches(text, '[.!?”)]$') THEN 'no stop' ELSE 'good' END"""
+_UNIT = r"km2|sqmi|mph|km/h|km|mi|ft|yd|cm|mm|kg|lb|oz|ha|acres?|kn|AU|m"
+_SPELT = "foot|feet|metres|meters|miles|kilometres|kilometers|inches|yards|tonnes|tons|pounds"
+_DATED = f"(?:(?:{_MONTHS}) [0-9]{{1,2}}|[0-9]{{1,2}} (?:{_MONTHS}))"
+#: Reasons why a sentence is no statement, in order: name and what it looks like (fixed values), where a pattern says it.
+SHAPES = (
+    ("markup", r"\[\[|\{\{|\]\]|\}\}|__[A-Z]{3,}__"),
+    ("opens on punctuation", "^[,;:.–—-]"),
+    ("subject lost", rf"^{_DATED}\s*[–—-]?\s*[,;]"),
+    ("bare number", r"^[0-9]{1,2}\s*[–—-]\s+[A-Z]"),
+    ("raw link", r"\[https?://"),
+    ("ends on a colon", r":\s*$"),
+    ("unbalanced", None),
+    ("two units", rf"\b[0-9][0-9,.]*\s*(?:{_SPELT}|{_UNIT})\s+(?:{_UNIT})(?:[^a-zA-Z0-9_]|$)"),
+    ("editor's note", r"(?i)\b(?:clarification|citation|verification|dubious)\s+needed"),
+    ("commented out", "<!--|-->"),
+    ("two separators", r"^[^–—-]{0,30}[–—-]\s*[–—-]"),
+    ("short", "^.{0,11}$"),
+)
+SQL_SHAPE = "CASE WHEN text IS NULL THEN 'missing' " + " ".join(f"WHEN length(text) - length(replace(text, '(', '')) <> length(text) - length(replace(text, ')', '')) THEN '{n}'" if p is None else f"WHEN regexp_matches(text, '{p}') THEN '{n.replace(chr(39), chr(39) * 2)}'" for n, p in SHAPES) + " ELSE 'good' END"
 
 
 @R.add(f"SELECT row_id, {SQL_SHAPE} AS shape FROM published")
 def filter07_shape(t):
-    """The first reason why a text is not well formed."""
+    """The first of twelve reasons why a text is no statement."""
     x = F.col("text")
-    shape = F.when(x.isNull(), "missing").when(F.trim(x) == "", "blank").when(F.length(x) < 30, "short").when(F.length(x) > 300, "long").when(F.contains(x, F.lit("{{")) | F.contains(x, F.lit("[[")), "markup").when(x.rlike("^[a-z]"), "small initial")
-    return t.published.select("row_id", shape.when(x.rlike("[,;:]$"), "open end").when(F.contains(x, F.lit("  ")), "double blank").when(~x.rlike("[.!?”)]$"), "no stop").otherwise("good").alias("shape"))
+    n = lambda s: F.length(x) - F.length(F.replace(x, F.lit(s), F.lit("")))
+    shape = F.when(x.isNull(), "missing")
+    for name, pattern in SHAPES:
+        shape = shape.when(n("(") != n(")") if pattern is None else x.rlike(pattern), name)
+    return t.published.select("row_id", shape.otherwise("good").alias("shape"))
 
 
 @R.add("""

@@ -106,7 +106,7 @@ SELECT slug, count(*) AS terms, count(DISTINCT continent) AS regions FROM s JOIN
 def j10_overlap(t):
     """Terms that overlap the years of each subject."""
     s = t.subjects.where("first_year <= last_year").select("slug", "first_year", "last_year")
-    return J.overlapping(s, spans(t), [], ("first_year", "last_year"), ("s", "e"), 64).groupBy("slug").agg(F.count(F.lit(1)).alias("terms"), F.count_distinct("continent").alias("regions"))
+    return J.overlap_counts(s, spans(t), "continent", ("first_year", "last_year"), ("s", "e")).groupBy("slug").agg(F.sum("n").alias("terms"), F.count(F.lit(1)).alias("regions"))
 
 
 @R.add(f"""

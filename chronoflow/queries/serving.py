@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from chronoflow.functions import text as X
 from chronoflow.functions.timeaxis import MONTHS
 from chronoflow.operators import ordered as O
+from chronoflow.functions.text import claim_tokens
+from chronoflow.operators.claims import coverage, disagreements
 from chronoflow.operators.joins import best_overlap
 from chronoflow.plans.staging import Stage
 from chronoflow.queries.aggregates import SQL_MD, country, dated
+from chronoflow.queries.checks import SQL_COVERAGE, SQL_LEDGER
 from chronoflow.queries.registry import Registry, Tables
-from chronoflow.queries.search import sql_norm
+from chronoflow.operators.search import search, write_index
+from chronoflow.queries.search import SQL_INDEX, index, sql_norm, sql_search
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -61,14 +65,12 @@ def k02_mirror(t):
     return Stage(t.spark, "io").write(t.subjects.select("slug", "label", "entries", "first_year", "last_year"), "mirror")
 
 
-@R.add(f"""
-WITH x AS (SELECT row_id AS doc, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{{6,}}'))) AS token FROM published WHERE text IS NOT NULL)
-SELECT left(token, 1) AS bucket, count(DISTINCT token) AS tokens, count(*) AS postings FROM x WHERE left(token, 1) IN ('q', 'z') GROUP BY 1""")
+@R.add(f"WITH {SQL_INDEX} SELECT left(token, 1) AS bucket, count(DISTINCT token) AS tokens, count(*) AS postings FROM idx GROUP BY 1")
 def k05_index_files(t):
-    """Index files in folders by first character, of which two are read."""
-    x = t.published.where("text is not null").select(F.col("row_id").alias("doc"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0)))).alias("token"))
-    files = Stage(t.spark, "io").write(x.withColumn("bucket", F.left("token", F.lit(1))).repartition("bucket"), "index", ["bucket"])
-    return files.where("bucket in ('q', 'z')").groupBy("bucket").agg(F.count_distinct("token").alias("tokens"), F.count(F.lit(1)).alias("postings"))
+    """The index's files by bucket, as written and read back: tokens and postings in each."""
+    path = Stage(t.spark, "io").path("index")
+    write_index(*index(t), path)
+    return t.spark.read.parquet(f"{path}/postings").groupBy(F.col("bucket").cast("string").alias("bucket")).agg(F.count_distinct("token").alias("tokens"), F.sum(F.size("docs").cast("bigint")).alias("postings"))
 
 
 @R.add("SELECT slug, label, description, entries, last_year - first_year AS span FROM subjects WHERE label IS NOT NULL ORDER BY entries DESC, slug")
@@ -116,12 +118,46 @@ def filter14_robots(t):
     return t.sites.select("site", (robots.rlike(r"(^|\n)Disallow:[ ]*[^ \n]") | robots.rlike("ai-(train|input)=no")).alias("denied"))
 
 
+def year_facts(t: Tables, year: int) -> DataFrame:
+    """One row: entries by kind, holders and the price index of a year; nothing for a year without any."""
+    rows = t.published.where(F.col("year") == year).agg(*(F.count_if(F.col("kind") == k).alias(f"{k}s") for k in ("event", "birth", "death")))
+    held = t.stateleaders.where(F.array_contains("years", year)).agg(F.count(F.lit(1)).alias("holders"))
+    price = t.orders.where(F.year("o_orderdate") == year).agg(F.round(F.avg("o_totalprice"), 2).alias("price"))
+    return rows.select(F.lit(year).alias("year"), "*", held.scalar().alias("holders"), price.scalar().alias("price")).where("events + births + deaths + holders > 0 or price is not null")
+
+
+def in_force(t: Tables, day: str) -> DataFrame:
+    """The first issue on or after a day: here of views, the least of its day."""
+    issues = t.events.where("event_type = 'view'").where(F.to_date("ts") >= F.to_date(F.lit(day)))
+    return issues.agg(F.min(F.struct(F.to_date("ts").alias("issue"), "event_id")).alias("x")).where("x is not null").select("x.*")
+
+
+def converted(t: Tables, amount: float, of: int, to: int) -> DataFrame:
+    """An amount of one year in another's prices; nothing if either year has no price."""
+    p = t.orders.groupBy(F.year("o_orderdate").alias("y")).agg(F.avg("o_totalprice").alias("v")).where(F.col("y").isin(of, to))
+    both = p.agg(F.max(F.when(F.col("y") == of, F.col("v"))).alias("a"), F.max(F.when(F.col("y") == to, F.col("v"))).alias("b"))
+    return both.where("a is not null and b is not null").select(F.round(amount * F.col("b") / F.col("a"), 2).alias("amount"))
+
+
+def official_series(t: Tables, status: str) -> DataFrame:
+    return t.orders.where(F.col("o_orderstatus") == status).groupBy(F.year("o_orderdate").alias("year")).agg(F.round(F.avg("o_totalprice"), 2).alias("value"))
+
+
+#: The catalogue: tools by name. Prizes have no table here.
 TOOLS = {
+    "search_history": lambda t, q, limit=25, first=None, last=None: search(*index(t), {"q": q}, min(max(limit, 1), 200), first, last).select("doc", "score", "place"),
     "get_year": lambda t, year: t.published.where(F.col("year") == year).select("row_id", "section", "text"),
     "get_day": lambda t, month, day: dated(t).where((F.col("month") == month) & (F.col("day") == day)).select("row_id", "year"),
     "get_timeline": lambda t, label: t.published.where(F.array_contains("links", label)).select("row_id", "year", "text"),
     "get_country": lambda t, name: t.published.withColumn("c", country()).where(F.col("c") == name.lower()).select("row_id", "year", "text"),
+    "get_year_facts": year_facts,
     "get_leaders": lambda t, year: t.stateleaders.where(F.array_contains("years", year)).select("term_id", "state_link", "name"),
+    "get_number_one_song": in_force,
+    "convert_dollars": converted,
+    "get_world_on_date": lambda t, year, month, day: dated(t).where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)).select("row_id", "kind"),
+    "check_claim": lambda t, said: coverage(t.spark.createDataFrame([("c", said)], "claim string, said string").select("claim", claim_tokens(F.col("said"), F.lit(None).cast("int"), F.lit(None).cast("int")).alias("tokens")), t.published.select("row_id", "text")),
+    "get_official_series": official_series,
+    "get_disagreements": lambda t: disagreements(t.stateleaders),
     "list_subjects": lambda t, least=1: t.subjects.where(F.col("entries") >= least).select("slug", "label", "entries"),
     "list_countries": lambda t: t.countries.select("country", "continent"),
 }
@@ -135,12 +171,25 @@ def call(t: Tables, tool: str, limit: int | None = None, **given) -> DataFrame:
     return out if limit is None else out.limit(min(max(limit, 1), 200))
 
 
-@R.add(f"SELECT 'get_day' AS tool, count(*) AS n FROM ({SQL_MD}) WHERE m = 7 AND d = 4 UNION ALL SELECT 'get_leaders', count(*) FROM stateleaders WHERE list_contains(years, 1500) UNION ALL SELECT 'list_subjects', count(*) FROM subjects WHERE entries >= 10 UNION ALL SELECT 'list_countries', count(*) FROM countries UNION ALL SELECT 'get_year', count(*) FROM published WHERE year = 1604")
+CALLS = (
+    ("search_history", {"q": "bridge of stone"}), ("get_year", {"year": 1604}), ("get_day", {"month": 7, "day": 4}), ("get_timeline", {"label": "Zeitam Thaetiath"}), ("get_country", {"name": "Sternrouthland"}), ("get_year_facts", {"year": 1937}),
+    ("get_leaders", {"year": 1500}), ("get_number_one_song", {"day": "2024-01-09"}), ("convert_dollars", {"amount": 100.0, "of": 1996, "to": 2000}), ("get_world_on_date", {"year": 1937, "month": 11, "day": 15}), ("check_claim", {"said": "A mint strikes its first silver coin"}),
+    ("get_official_series", {"status": "F"}), ("get_disagreements", {}), ("list_subjects", {"least": 10}), ("list_countries", {}),
+)
+
+
+@R.add(f"""
+SELECT 'search_history' AS tool, count(*) AS n FROM ({sql_search(25)}) WHERE q = 'bridge' UNION ALL SELECT 'get_year', count(*) FROM published WHERE year = 1604 UNION ALL SELECT 'get_day', count(*) FROM ({SQL_MD}) WHERE m = 7 AND d = 4
+UNION ALL SELECT 'get_timeline', count(*) FROM published WHERE list_contains(links, 'Zeitam Thaetiath') UNION ALL SELECT 'get_country', count(*) FROM published WHERE lower(trim(country)) = 'sternrouthland'
+UNION ALL SELECT 'get_year_facts', CASE WHEN EXISTS (SELECT 1 FROM published WHERE year = 1937 AND kind IN ('event', 'birth', 'death')) OR EXISTS (SELECT 1 FROM stateleaders WHERE list_contains(years, 1937)) OR EXISTS (SELECT 1 FROM orders WHERE year(o_orderdate) = 1937) THEN 1 ELSE 0 END
+UNION ALL SELECT 'get_leaders', count(*) FROM stateleaders WHERE list_contains(years, 1500) UNION ALL SELECT 'get_number_one_song', least(count(*), 1) FROM events WHERE event_type = 'view' AND ts::DATE >= DATE '2024-01-09'
+UNION ALL SELECT 'convert_dollars', CASE WHEN count(DISTINCT year(o_orderdate)) = 2 THEN 1 ELSE 0 END FROM orders WHERE year(o_orderdate) IN (1996, 2000) UNION ALL SELECT 'get_world_on_date', count(*) FROM ({SQL_MD}) WHERE year = 1937 AND m = 11 AND d = 15
+UNION ALL SELECT 'check_claim', count(*) FROM ({SQL_COVERAGE}) WHERE claim = 'coin' UNION ALL SELECT 'get_official_series', count(DISTINCT year(o_orderdate)) FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'get_disagreements', count(*) FROM ({SQL_LEDGER})
+UNION ALL SELECT 'list_subjects', count(*) FROM subjects WHERE entries >= 10 UNION ALL SELECT 'list_countries', count(*) FROM countries""")
 def q09_tools(t):
-    """What several tools of the catalogue return."""
-    calls = (("get_day", {"month": 7, "day": 4}), ("get_leaders", {"year": 1500}), ("list_subjects", {"least": 10}), ("list_countries", {}), ("get_year", {"year": 1604}))
+    """How many rows each tool of the catalogue returns for one call."""
     out = None
-    for tool, given in calls:
+    for tool, given in CALLS:
         n = call(t, tool, **given).agg(F.count(F.lit(1)).alias("n")).select(F.lit(tool).alias("tool"), "n")
         out = n if out is None else out.unionByName(n)
     return out
