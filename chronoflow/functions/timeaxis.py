@@ -97,17 +97,40 @@ def julian_day(year: Column, month: Column, day: Column) -> Column:
     return (day + F.floor((153 * m + 2) / 5) + 365 * y + F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400) - 32045).cast("bigint")
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def to_julian(year: Column, month: Column, day: Column) -> Column:
     """struct(year, month, day) in the Julian calendar of a proleptic Gregorian date."""
-    c = julian_day(year, month, day) + 32082
-    d = F.floor((4 * c + 3) / 1461)
-    e = c - F.floor(1461 * d / 4)
-    m = F.floor((5 * e + 2) / 153)
-    return F.struct(
-        (d - 4800 + F.floor(m / 10)).cast("int").alias("year"),
-        (m + 3 - 12 * F.floor(m / 10)).cast("int").alias("month"),
-        (e - F.floor((153 * m + 2) / 5) + 1).cast("int").alias("day"),
-    )
+
+    def of(x: Column) -> Column:  # x: c, d (four-year cycles), e (days of the year from March)
+        m = F.floor((5 * x.e + 2) / 153)
+        return F.struct(
+            (x.d - 4800 + F.floor(m / 10)).cast("int").alias("year"),
+            (m + 3 - 12 * F.floor(m / 10)).cast("int").alias("month"),
+            (x.e - F.floor((153 * m + 2) / 5) + 1).cast("int").alias("day"),
+        )
+
+    cycles = lambda c: F.struct(c.alias("c"), F.floor((4 * c + 3) / 1461).alias("d"))
+    rest = lambda x: F.struct(x.d.alias("d"), (x.c - F.floor(1461 * x.d / 4)).alias("e"))
+    return _let(_let(_let(julian_day(year, month, day) + 32082, cycles), rest), of)
+
+
+def typed_statement(value: Column, precision: Column, julian: Column) -> Column:
+    """struct(year, month, day, precision) of a time value "-0043-03-13T00:00:00Z"; null where it isn't one.
+
+    A day (precision 11 or more) that was given in the Julian calendar is turned from the Gregorian
+    one that values are written in. Parts beyond the precision are 0, as written.
+    """
+    form = r"^([+-]?)(\d{1,6})-(\d\d)-(\d\d)T"
+    get = lambda i: F.regexp_extract(value, form, i)
+    y = get(2).try_cast("int") * F.when(get(1) == "-", -1).otherwise(1)
+    own = F.struct(y.alias("year"), get(3).try_cast("int").alias("month"), get(4).try_cast("int").alias("day"))
+    days = lambda v: (precision >= 11) & F.coalesce(julian, F.lit(False)) & v.month.between(1, 12) & v.day.between(1, 31)
+    turned = _let(own, lambda v: F.when(days(v), to_julian(v.year, v.month, v.day)).otherwise(v))
+    return _let(turned, lambda v: F.when(v.year.isNotNull(), F.struct(v.year.alias("year"), v.month.alias("month"), v.day.alias("day"), precision.cast("int").alias("precision"))))
 
 
 def day_distance(month_a: Column, day_a: Column, month_b: Column, day_b: Column) -> Column:

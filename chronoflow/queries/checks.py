@@ -156,16 +156,65 @@ def answer():
     return F.when(k == 0, F.concat(F.lit("It was in "), "source_title")).when(k == 1, F.concat(F.lit("About "), (F.col("year") + F.col("row_id") % 5).cast("string"), F.lit(", I think"))).otherwise(F.concat(F.lit("no idea"), F.coalesce("date", F.lit(""))))
 
 
-@R.add("""
-WITH i AS (SELECT row_id, section, year, 'event' AS type, md5('b1|' || row_id) AS r FROM published WHERE kind = 'event' AND section IS NOT NULL UNION ALL SELECT row_id, section, year, 'life', md5('b1|' || row_id) FROM published WHERE kind <> 'event' AND section IS NOT NULL)
-SELECT row_id, type, place FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY r, row_id)::INTEGER AS place FROM i) WHERE place <= CASE type WHEN 'event' THEN 400 ELSE 200 END""")
+#: Items of each type, and how many of one group (a year, a person, a title) a type may take.
+QUOTAS = {"event_year": (400, 2), "number_one": (200, 1), "leader": (250, 1), "cpi": (150, 1)}
+
+
+def sql_quota(kind: str) -> str:
+    n, most = QUOTAS[kind]
+    return f"SELECT type, item, row_number() OVER (ORDER BY r, item)::INTEGER AS place FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY r, item) AS k FROM i WHERE type = '{kind}') WHERE k <= {most} QUALIFY place <= {n}"
+
+
+def sql_items() -> str:
+    from chronoflow.queries import corpus, selection
+
+    return f"""
+WITH e AS ({corpus.SQL['filter05_questions']}), l AS ({corpus.SQL['filter06_unambiguous']}), c AS ({selection.SQL['t13_pairs']}),
+i AS (SELECT 'event_year' AS type, row_id::VARCHAR AS item, year::VARCHAR AS grp, md5('b1|event_year|' || row_id) AS r FROM e JOIN published USING (row_id)
+ UNION ALL SELECT 'number_one', page_id::VARCHAR, source.title, md5('b1|number_one|' || page_id) FROM articles WHERE source.title IS NOT NULL
+ UNION ALL SELECT 'leader', term_id || ':' || l.year, person, md5('b1|leader|' || term_id || ':' || l.year) FROM l JOIN stateleaders USING (term_id) WHERE person IS NOT NULL
+ UNION ALL SELECT 'cpi', a || ':' || b, a || ':' || b, md5('b1|cpi|' || a || ':' || b) FROM c)
+{' UNION ALL '.join(f'SELECT * FROM ({sql_quota(k)})' for k in QUOTAS)}"""
+
+
 def b01_items(t):
-    """Benchmark items with a quota per type, drawn in seeded order."""
+    """Benchmark items of four types, each with its quota and so many of a group, drawn in seeded order."""
     from chronoflow.operators.selection import seeded_order, top_per_group
-
-    kind = F.when(F.col("kind") == "event", "event").otherwise("life")
-    i = t.published.where("section is not null").select("row_id", kind.alias("type"), seeded_order("b1", F.col("row_id")).alias("r"))
-    return top_per_group(i, ["type"], [F.asc("r"), F.asc("row_id")], 400).where((F.col("type") == "event") | (F.col("place") <= 200)).select("row_id", "type", "place")
+    from chronoflow.queries import corpus, selection
+
+    run = lambda q: q(t.spark, t.sf_dir)
+    pair = F.concat_ws(":", "a", "b")
+    parts = {
+        "event_year": run(corpus.QUERIES["filter05_questions"]).join(t.published.select("row_id", "year"), "row_id").select(F.col("row_id").cast("string").alias("item"), F.col("year").cast("string").alias("grp")),
+        "number_one": t.articles.where("source.title is not null").select(F.col("page_id").cast("string").alias("item"), F.col("source.title").alias("grp")),
+        "leader": run(corpus.QUERIES["filter06_unambiguous"]).join(t.stateleaders.where("person is not null").select("term_id", "person"), "term_id").select(F.concat_ws(":", "term_id", "year").alias("item"), F.col("person").alias("grp")),
+        "cpi": run(selection.QUERIES["t13_pairs"]).select(pair.alias("item"), pair.alias("grp")),
+    }
+    out = None
+    for kind, df in parts.items():
+        n, most = QUOTAS[kind]
+        drawn = df.withColumn("type", F.lit(kind)).withColumn("r", seeded_order(f"b1|{kind}", F.col("item")))
+        few = top_per_group(drawn, ["grp"], [F.asc("r"), F.asc("item")], most).drop("place")
+        some = top_per_group(few, ["type"], [F.asc("r"), F.asc("item")], n).select("type", "item", "place")
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+R.add(sql_items())(b01_items)
+
+
+@R.add("SELECT row_id, CASE row_id % 4 WHEN 0 THEN coalesce(text, '') WHEN 1 THEN coalesce(text, '') || coalesce(country, '') WHEN 2 THEN '' ELSE coalesce(text, '') END AS said FROM published")
+def b06_answer_texts(t):
+    """The text of model responses: the field for it, else the text parts of all messages joined; responses without any are empty."""
+    x, k = F.coalesce("text", F.lit("")), F.col("row_id") % 4
+    part = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    item = lambda kind, *parts: F.struct(F.lit(kind).alias("type"), F.array(*parts).alias("content"))
+    none = F.lit(None).cast("string")
+    messages = F.to_json(F.struct(none.alias("output_text"), F.array(item("reasoning", part("text", F.lit("hidden"))), item("message", part("output_text", x), part("refusal", F.lit("no"))), item("message", part("text", F.coalesce("country", F.lit(""))))).alias("output")))
+    plain = F.to_json(F.struct(x.alias("output_text")))
+    short = F.to_json(F.struct(F.array(item("message", part("text", x))).alias("output")))
+    response = F.when(k == 0, plain).when(k == 1, messages).when(k == 2, "{}").otherwise(short)
+    return t.published.select("row_id", B.response_text(response).alias("said"))
 
 
 @R.add(f"""

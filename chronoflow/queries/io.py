@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from chronoflow.functions.timeaxis import ordinal, typed_statement
 from chronoflow.plans.staging import Stage
+from chronoflow.queries.aggregates import SQL_MD, dated
 from chronoflow.queries.registry import Registry
 from chronoflow.sources import files as X
 from chronoflow.sources.batched import BatchedLookup
@@ -23,8 +25,12 @@ def s01_json_per_key(t):
     return X.json_per_key(t.spark, path, "row_id bigint, text string").select("key", "row_id", "text")
 
 
-@R.add("""
-WITH y AS (SELECT DISTINCT year FROM published), c AS (SELECT year, CASE WHEN year BETWEEN 1 AND 9 THEN [year || ' (year)', 'AD ' || year, '0s'] WHEN year < 1 THEN [(1 - year) || ' BC', ((-year) // 100 + 1) || ' century BC'] WHEN year < 100 THEN ['AD ' || year, year::VARCHAR] ELSE [year::VARCHAR, 'AD ' || year] END AS t FROM y)
+_NTH = "({0})::VARCHAR || CASE WHEN ({0}) % 100 BETWEEN 11 AND 13 THEN 'th' WHEN ({0}) % 10 = 1 THEN 'st' WHEN ({0}) % 10 = 2 THEN 'nd' WHEN ({0}) % 10 = 3 THEN 'rd' ELSE 'th' END"
+SQL_ORD, SQL_MIL = _NTH.format("(-year) // 100 + 1"), _NTH.format("(1 - year) // 1000")
+
+
+@R.add(f"""
+WITH y AS (SELECT DISTINCT year FROM published), c AS (SELECT year, CASE WHEN year BETWEEN 1 AND 9 THEN [year || ' (year)', 'AD ' || year, '0s'] WHEN year < 1 THEN [(1 - year) || ' BC', {SQL_ORD} || ' century BC'] || CASE WHEN (1 - year) % 1000 = 0 THEN [{SQL_MIL} || ' millennium BC'] ELSE [] END WHEN year < 100 THEN ['AD ' || year, year::VARCHAR] ELSE [year::VARCHAR, 'AD ' || year] END AS t FROM y)
 SELECT year, unnest(range(len(t)))::INTEGER AS rank, unnest(t) AS title FROM c""")
 def s02_candidate_titles(t):
     """Titles under which a year's article may stand, best first."""
@@ -32,7 +38,7 @@ def s02_candidate_titles(t):
     ad = F.concat(F.lit("AD "), s)
     titles = (
         F.when(y.between(1, 9), F.array(F.concat(s, F.lit(" (year)")), ad, F.lit("0s")))
-        .when(y < 1, F.array(F.concat((1 - y).cast("string"), F.lit(" BC")), F.concat((F.floor(-y / 100) + 1).cast("string"), F.lit(" century BC"))))
+        .when(y < 1, F.concat(F.array(F.concat((1 - y).cast("string"), F.lit(" BC")), F.concat(ordinal(F.floor(-y / 100) + 1), F.lit(" century BC"))), F.when((1 - y) % 1000 == 0, F.array(F.concat(ordinal(F.floor((1 - y) / 1000)), F.lit(" millennium BC")))).otherwise(F.array().cast("array<string>"))))
         .when(y < 100, F.array(ad, s))
         .otherwise(F.array(s, ad))
     )
@@ -51,6 +57,36 @@ def s07_batched_lookup(t):
     return t.spark.read.format("batched_lookup").option("path", stage.write_path(store, "store")).option("keys", stage.write_path(alias.select("key"), "keys")).option("batch", "50").load()
 
 
+_FL = "floor(({0})::DOUBLE / {1})::BIGINT"
+_JDN = "(d + " + _FL.format(f"153 * (m + 12 * {_FL.format('14 - m', 12)} - 3) + 2", 5) + f" + 365 * y0 + {_FL.format('y0', 4)} - {_FL.format('y0', 100)} + {_FL.format('y0', 400)} - 32045)"
+SQL_STATEMENTS = f"""
+WITH x AS (SELECT DISTINCT links[1] AS name, p.kind, p.year AS y, coalesce(m, 0) AS m, coalesce(d, 0) AS d, CASE WHEN d IS NOT NULL THEN 11 WHEN m IS NOT NULL THEN 10 ELSE 9 END AS precision FROM published p JOIN ({SQL_MD}) USING (row_id) WHERE p.kind IN ('birth', 'death') AND len(links) > 0 AND p.year IS NOT NULL AND links[1] IS NOT NULL),
+j AS (SELECT *, precision = 11 AND y < 1583 AS julian, y + 4800 - {_FL.format('14 - m', 12)} AS y0 FROM x),
+c AS (SELECT *, {_JDN} + 32082 AS c FROM j), e AS (SELECT *, {_FL.format('4 * c + 3', 1461)} AS dd FROM c), f AS (SELECT *, c - {_FL.format('1461 * dd', 4)} AS ee FROM e), g AS (SELECT *, {_FL.format('5 * ee + 2', 153)} AS mm FROM f)
+SELECT DISTINCT name, kind, (CASE WHEN julian THEN dd - 4800 + {_FL.format('mm', 10)} ELSE y END)::INTEGER AS year, (CASE WHEN julian THEN mm + 3 - 12 * {_FL.format('mm', 10)} ELSE m END)::INTEGER AS month, (CASE WHEN julian THEN ee - {_FL.format('153 * mm + 2', 5)} + 1 ELSE d END)::INTEGER AS day, precision FROM g"""
+
+
+@R.add(SQL_STATEMENTS)
+def s08_statements(t):
+    """Births and deaths as typed statements: signed year, precision, days before the reform in the Julian calendar; repeated ones once."""
+    x = dated(t).where("kind in ('birth', 'death') and year is not null").join(t.published.select("row_id", F.get("links", 0).alias("name")), "row_id").where("name is not null")
+    two = lambda c: F.lpad(F.coalesce(F.col(c), F.lit(0)).cast("string"), 2, "0")
+    value = F.concat(F.when(F.col("year") < 0, "-").otherwise("+"), F.lpad(F.abs("year").cast("string"), 4, "0"), F.lit("-"), two("month"), F.lit("-"), two("day"), F.lit("T00:00:00Z"))
+    precision = F.when(F.col("day").isNotNull(), 11).when(F.col("month").isNotNull(), 10).otherwise(9)
+    return x.select("name", "kind", typed_statement(value, precision, F.col("year") < 1583).alias("s")).where("s is not null").select("name", "kind", "s.*").distinct()
+
+
+@R.add("SELECT slug, label, ((row_number() OVER (ORDER BY slug) - 1) // 50)::INTEGER AS page FROM subjects")
+def s09_pages(t):
+    """Subjects read fifty a page, all of them or an error."""
+    from chronoflow.sources.batched import Paged, counted
+
+    t.spark.dataSource.register(Paged)
+    store = Stage(t.spark, "io").write_path(t.subjects.select("slug", "label").orderBy("slug").coalesce(1), "store")
+    pages = counted(t.spark.read.format("paged").option("path", store).option("limit", "50").load())
+    return pages.select(F.get_json_object("body", "$.slug").alias("slug"), F.get_json_object("body", "$.label").alias("label"), "page")
+
+
 @R.add("SELECT strftime(o_orderdate, '%Y-%m') AS period, round(avg(o_totalprice), 2) AS value FROM orders WHERE month(o_orderdate) <> 6 GROUP BY 1")
 def s10_csv_series(t):
     """A monthly series through CSV; months given as a dot are missing."""

@@ -66,6 +66,60 @@ class _File(InputPartition):
         self.path = path
 
 
+class Paged(DataSource):
+    """``spark.read.format("paged")`` with options ``path`` (a Parquet table) and ``limit``: a task per page of that many rows.
+
+    Every row has the page it came with and the count that the store gave for all, so that what was
+    read can be held against it (``counted``). Offline the store is a snapshot, its order that of the file.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged"
+
+    def schema(self) -> str:
+        return "page int, of bigint, body string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Pages(self.options)
+
+
+class _Page(InputPartition):
+    def __init__(self, file: str, page: int, first: int, size: int, of: int):
+        super().__init__(page)
+        self.file, self.page, self.first, self.size, self.of = file, page, first, size, of
+
+
+class _Pages(DataSourceReader):
+    def __init__(self, options):
+        self.path, self.limit = options["path"], int(options.get("limit", "100"))
+
+    def partitions(self) -> list[InputPartition]:
+        root = self.path.split("://")[0] + "://" if "://" in self.path else ""
+        files = [(root + f.path, f.count_rows()) for f in _opened(self.path).get_fragments()]  # from the footers
+        total, out = sum(n for _, n in files), []
+        for file, n in files:
+            for first in range(0, n, self.limit):
+                out.append(_Page(file, len(out), first, min(self.limit, n - first), total))
+        return out or [_Page("", 0, 0, 0, 0)]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        import json
+
+        if partition.size:
+            rows = again(lambda: _opened(partition.file).to_table().slice(partition.first, partition.size).to_pylist())
+            for row in rows:
+                yield partition.page, partition.of, json.dumps(row, ensure_ascii=False, default=str)
+
+
+def counted(pages, expected: str = "of"):
+    """The rows, or an error if they are not as many as the store said there are."""
+    from pyspark.sql import functions as F
+
+    n, of = pages.count(), pages.agg(F.max(expected)).scalar()
+    return pages.where(F.when(F.lit(n) == F.coalesce(of, F.lit(0)), True).otherwise(F.raise_error(F.concat(F.lit(f"{n} rows of "), F.coalesce(of, F.lit(0)).cast("string")))))
+
+
 def _opened(path: str):
     """A Parquet folder or file at a path or URI of any file system, as a dataset."""
     import pyarrow.dataset as ds

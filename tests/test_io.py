@@ -129,3 +129,17 @@ def test_staging_refuses_a_cluster_without_a_folder(spark, tmp_path):
     assert b.count() == 4 and len(os.listdir(folder)) == 1
     stage.clear()
     assert not os.path.exists(folder)
+
+
+def test_pages(spark, tmp_path):
+    """Pages of several files; a store that says more than it gives is an error."""
+    spark.dataSource.register(batched.Paged)
+    for name, n in (("a", 7), ("b", 4)):
+        spark.range(n).select(F.concat(F.lit(name), F.col("id").cast("string")).alias("k")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
+    pages = spark.read.format("paged").option("path", f"{tmp_path}/t").option("limit", "3").load()
+    rows = batched.counted(pages).collect()
+    assert len(rows) == 11 and len({r.page for r in rows}) == 5 and {r.of for r in rows} == {11}
+    with pytest.raises(Exception, match="11 rows of 12"):
+        batched.counted(pages.withColumn("of", F.lit(12))).collect()
+    spark.range(0).select(F.lit("x").alias("k")).write.parquet(f"{tmp_path}/none")
+    assert batched.counted(spark.read.format("paged").option("path", f"{tmp_path}/none").load()).count() == 0
