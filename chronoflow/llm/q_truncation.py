@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoflow.llm.residue import residue
+from chronoflow.llm.residue import Model, residue
 from chronoflow.llm.truncation import truncated
 from chronoflow.sources.tables import table
 
@@ -18,8 +18,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published rows whose text was cut off; residue is no text of the record."""
     rows = table(spark, sf_dir, "published")
-    cut = truncated(rows, "row_id", "text", "site").where("cut").select("row_id")
-    return cut.join(residue(rows, "row_id", "text").select("row_id"), "row_id", "left_anti")
+    return truncated(rows, "row_id", "text", "site", residue=Model.fit(rows, "text")).where("cut").select("row_id")
 
 
 def p2_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -155,6 +155,40 @@ def learn(exemplars: tuple[str, ...], lookalikes: tuple[str, ...], frequency: di
     return best[len(best) // 2] / GRID
 
 
+class Model:
+    """Exemplars with the weights that a table gives their tokens, and the threshold. Small: it travels to the workers as it is."""
+
+    def __init__(self, exemplars: tuple[str, ...], frequency: dict[str, int], texts: int, need: float):
+        self.exemplars, self.frequency, self.texts, self.need = exemplars, tuple(sorted(frequency.items())), texts, need
+
+    @classmethod
+    def fit(cls, df: DataFrame, text: str, labels: dict[str, tuple[str, ...]] | None = None, lookalikes: tuple[str, ...] = L.LOOKALIKES, threshold: float | None = None) -> Model:
+        """Count the exemplars' tokens over all texts and learn the threshold from the labels unless one is given."""
+        exemplars = flat(labels if labels is not None else L.labelled())
+        words = vocabulary(exemplars)
+
+        def count(batches):
+            seen: dict[str, int] = defaultdict(int)
+            for batch in batches:
+                for t in batch.column(0).to_pylist():
+                    if t:
+                        seen[""] += 1
+                        for w in words.intersection(tokens(t)):
+                            seen[w] += 1
+            yield pa.RecordBatch.from_pydict({"t": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+
+        # as many rows as the exemplars have tokens
+        counted = df.select(F.col(f"`{text}`").alias("x")).mapInArrow(count, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+        frequency = {r.t: r.n for r in counted.collect()}
+        total = frequency.pop("", 0)
+        return cls(exemplars, frequency, total, threshold if threshold is not None else learn(exemplars, lookalikes, frequency, total))
+
+    def best(self, text: str) -> tuple[float, str] | None:
+        """(containment, exemplar) of a text that is residue, else None."""
+        score, n = _index(self.exemplars, self.frequency, self.texts, self.need).best(text)
+        return (score, self.exemplars[n]) if score >= self.need - 1e-9 else None
+
+
 def residue(df: DataFrame, key: str, text: str, labels: dict[str, tuple[str, ...]] | None = None, lookalikes: tuple[str, ...] = L.LOOKALIKES, threshold: float | None = None) -> DataFrame:
     """Rows that are residue: ``key``, ``exemplar`` and ``coverage`` (its containment).
 
@@ -162,36 +196,17 @@ def residue(df: DataFrame, key: str, text: str, labels: dict[str, tuple[str, ...
     no row; repeated rows give one each; an empty table gives none. Whole texts are scored, however
     long; other columns are not read.
     """
-    exemplars = flat(labels if labels is not None else L.labelled())
+    model = Model.fit(df, text, labels, lookalikes, threshold)
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"))
-    words = vocabulary(exemplars)
-
-    def count(batches):
-        seen: dict[str, int] = defaultdict(int)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    seen[""] += 1
-                    for w in words.intersection(tokens(t)):
-                        seen[w] += 1
-        yield pa.RecordBatch.from_pydict({"t": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-
-    # as many rows as the exemplars have tokens
-    frequency = {r.t: r.n for r in narrow.select("x").mapInArrow(count, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    total = frequency.pop("", 0)
-    need = threshold if threshold is not None else learn(exemplars, lookalikes, frequency, total)
 
     def run(batches):
-        index = _index(exemplars, tuple(sorted(frequency.items())), total, need)
         for batch in batches:
             rows, which, coverage = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                if t:
-                    score, n = index.best(t)
-                    if score >= need - 1e-9:
-                        rows.append(i)
-                        which.append(exemplars[n])
-                        coverage.append(score)
+                if t and (hit := model.best(t)):
+                    rows.append(i)
+                    which.append(hit[1])
+                    coverage.append(hit[0])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(which, pa.string()), pa.array(coverage, pa.float64())], ["k", "exemplar", "coverage"])
 
     kind = narrow.schema["k"].dataType.simpleString()

@@ -11,15 +11,14 @@ A source has a limit if its texts pile up at a length, few being longer: five le
 than the twenty below and the twenty above them. Limits come from counts over all records. For the fit they are drawn at random, so
 that the model learns what a text at its limit means without having seen that source.
 
-The fit takes its intact values from at most ``SAMPLE`` texts, those of lowest hash; everything else
-covers all records.
+The fit takes its intact values from at most ``SAMPLE`` texts, those of lowest hash; known words, closing
+phrases, limits and scores cover all records.
 """
 
 from __future__ import annotations
 
 import random
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,13 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoflow.llm.residue import Model
 from chronoflow.plans.staging import Stage
 
 #: Most texts from which intact values are taken for the fit, and the number of hashed weights.
 SAMPLE, WEIGHTS = 30_000, 1 << 18
+#: One text in so many has a known word, and closes on an established phrase.
+SHARE, CLOSING = 1_500, 6_000
 #: Sources with a limit up to which their table is broadcast; beyond, it is joined by shuffle.
 MAX_BROADCAST = 50_000
 #: Probability from which a record counts as truncated.
@@ -101,32 +103,41 @@ def features(text: str, limit: int | None, known: frozenset[str]) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "replace")) & (WEIGHTS - 1) for f in out]
 
 
-def intact_values(texts: list[str]) -> list[str]:
-    """Texts that end as sentences do: on a stop or closing bracket, or on an established closing phrase.
+def statistics(texts: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
+    """(known words, closing phrases) of a column ``x``, counted over all texts.
 
-    A closing phrase is the last three words of several texts without a stop; it is established if
-    most texts that hold it end on it, which words before a chance cut never do.
+    A word in small letters is known if one text in ``SHARE`` has it (three at least), so there are at
+    most ``SHARE`` times the words of a text. A closing phrase is the last three words of texts without a
+    stop; it is established if enough texts close on it (one in ``CLOSING``, five at least, so there are at
+    most ``CLOSING``) and most texts that hold it do, which words before a chance cut never do.
     """
-    words = regex.compile(r"[\p{L}\p{N}’'-]+")
-    split = [words.findall(t.lower()) for t in texts]
-    ended = [bool(ENDS.search(t)) and not MARKED.search(t) for t in texts]
-    closing = Counter(tuple(w[-3:]) for w, e, t in zip(split, ended, texts) if not e and len(w) > 5 and t[-1].isalnum())
-    closing = {g: n for g, n in closing.items() if n >= 5}
-    held: Counter = Counter()
-    for w in split:
-        held.update(closing.keys() & set(zip(w, w[1:], w[2:])))
-    usual = {g for g, n in closing.items() if n >= 0.7 * held[g]}
-    return [t for t, w, e in zip(texts, split, ended) if e or tuple(w[-3:]) in usual and t[-1].isalnum()]
-
-
-def fit(intact: list[str], seed: int = 7, rounds: int = 10) -> tuple[np.ndarray, frozenset[str]]:
-    """(weights, known words) from intact values and their artificial cuts."""
+    n = texts.count()
+    word = F.explode(F.array_distinct(F.regexp_extract_all("x", F.lit(r"(?<![\p{L}\p{N}])\p{Ll}+(?![\p{L}\p{N}])"), F.lit(0))))
+    known = texts.select(word.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max(3, n // SHARE))
+    words = F.regexp_extract_all(F.lower("x"), F.lit(r"[\p{L}\p{M}’'-]+"), F.lit(0))
+    x = F.rtrim("x")
+    ended = x.rlike(ENDS.pattern) & ~x.rlike(MARKED.pattern)
+    last = F.array_join(F.slice("w", -3, 3), " ")
+    closing = texts.where(~ended & x.rlike(r"[\p{L}\p{N}]$")).select(words.alias("w")).where("size(w) > 5").select(last.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max(5, n // CLOSING))
+    phrases = {r.p: r.c for r in closing.collect()}
+    if not phrases:
+        return frozenset(r.w for r in known.select("w").collect()), frozenset()
+    few = F.broadcast(texts.sparkSession.createDataFrame([(p,) for p in phrases], "p string"))
+    threes = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i), F.get("w", i + 1)))
+    held = texts.select(words.alias("w")).where("size(w) > 2").select(F.explode(F.array_distinct(threes)).alias("p")).join(few, "p").groupBy("p").agg(F.count(F.lit(1)).alias("c"))
+    usual = frozenset(r.p for r in held.collect() if phrases[r.p] >= 0.7 * r.c)
+    return frozenset(r.w for r in known.select("w").collect()), usual
+
+
+def intact_values(texts: list[str], usual: frozenset[str]) -> list[str]:
+    """Texts that end as sentences do: on a stop or closing bracket, or on an established closing phrase."""
+    words = regex.compile(r"[\p{L}\p{M}’'-]+")
+    return [t for t in texts if ENDS.search(t) and not MARKED.search(t) or t[-1].isalnum() and " ".join(words.findall(t.lower())[-3:]) in usual]
+
+
+def fit(intact: list[str], known: frozenset[str], seed: int = 7, rounds: int = 10) -> np.ndarray:
+    """Weights from intact values and their artificial cuts."""
     rnd = random.Random(seed)
-    seen: dict[str, int] = {}
-    for t in intact:
-        for w in set(regex.findall(r"(?<![\p{L}\p{N}])\p{Ll}+(?![\p{L}\p{N}])", t)):
-            seen[w] = seen.get(w, 0) + 1
-    known = frozenset(w for w, n in seen.items() if n >= max(3, len(intact) // 1500))
     rows, labels = [], []
 
     def add(text: str, limit: int | None, label: int) -> None:
@@ -171,7 +182,7 @@ def fit(intact: list[str], seed: int = 7, rounds: int = 10) -> tuple[np.ndarray,
             g2[used] += step**2
             w[used] -= 0.25 * step / np.sqrt(g2[used])
             w[WEIGHTS] = 0
-    return w[:WEIGHTS].astype(np.float32), known
+    return w[:WEIGHTS].astype(np.float32)
 
 
 def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
@@ -189,33 +200,37 @@ def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
     return piled.groupBy("s").agg(F.max("n").alias("limit"))
 
 
-def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
+def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LEAST, sample: int = SAMPLE, residue: Model | None = None) -> DataFrame:
     """Every record with text: ``key``, ``source``, ``probability``, ``cut`` (boolean).
 
     Null, empty and blank texts give no row. Repeated rows give one each. With too few intact values
     to fit (fewer than 20) nothing is cut. An empty table gives no rows. Other columns are not read.
+    With ``residue`` a text that it finds is none of the record and never cut; only texts that would
+    count as cut are held against it.
     """
     narrow = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("x"), F.col(f"`{source}`").cast("string").alias("s")).where(F.length(F.trim("x")) > 0)
     hashed = narrow.select("x", F.xxhash64("x", "k").alias("h"))
     total = narrow.count()
     if total > 4 * sample:  # the lowest hashes lie far below this bound: only they are sorted
         hashed = hashed.where(F.col("h") < int(-(2**63) + 2**64 * (2 * sample / total)))
-    intact = intact_values([r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()])
+    known, usual = statistics(narrow.select("x"))
+    intact = intact_values([r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()], usual)
     # one row per source with a limit
     limits = Stage(df.sparkSession, "truncation").write(field_limits(df, text, source), "limits")
     if limits.count() <= MAX_BROADCAST:
         limits = F.broadcast(limits)
     rows = narrow.join(limits, "s", "left")
-    model = fit(intact) if len(intact) >= 20 else None
+    weights = fit(intact, known) if len(intact) >= 20 else None
 
     def run(batches):
         for batch in batches:
             texts, bounds = batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            if model is None:
+            if weights is None:
                 p = np.zeros(len(texts))
             else:
-                weights, known = model
                 p = np.array([1 / (1 + np.exp(-min(30.0, max(-30.0, float(weights[features(t, b, known)].sum()))))) for t, b in zip(texts, bounds)])
+                if residue is not None:
+                    p[[i for i in np.flatnonzero(p >= least) if residue.best(texts[i])]] = 0.0
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p, pa.float64())], ["k", "s", "p"])
 
     kind = narrow.schema["k"].dataType.simpleString()
