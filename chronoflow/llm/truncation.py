@@ -103,29 +103,30 @@ def features(text: str, limit: int | None, known: frozenset[str]) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "replace")) & (WEIGHTS - 1) for f in out]
 
 
-def statistics(texts: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """(known words, closing phrases) of a column ``x``, counted over all texts.
+def statistics(texts: DataFrame, n: int) -> tuple[frozenset[str], frozenset[str]]:
+    """(known words, closing phrases) of a column ``x``, counted over all ``n`` texts.
 
     A word in small letters is known if one text in ``SHARE`` has it (three at least), so there are at
     most ``SHARE`` times the words of a text. A closing phrase is the last three words of texts without a
     stop; it is established if enough texts close on it (one in ``CLOSING``, five at least, so there are at
     most ``CLOSING``) and most texts that hold it do, which words before a chance cut never do.
     """
-    n = texts.count()
     word = F.explode(F.array_distinct(F.regexp_extract_all("x", F.lit(r"(?<![\p{L}\p{N}])\p{Ll}+(?![\p{L}\p{N}])"), F.lit(0))))
     known = texts.select(word.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max(3, n // SHARE))
     words = F.regexp_extract_all(F.lower("x"), F.lit(r"[\p{L}\p{M}’'-]+"), F.lit(0))
     x = F.rtrim("x")
     ended = x.rlike(ENDS.pattern) & ~x.rlike(MARKED.pattern)
+    three = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))
     last = F.array_join(F.slice("w", -3, 3), " ")
-    closing = texts.where(~ended & x.rlike(r"[\p{L}\p{N}]$")).select(words.alias("w")).where("size(w) > 5").select(last.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max(5, n // CLOSING))
-    phrases = {r.p: r.c for r in closing.collect()}
-    if not phrases:
-        return frozenset(r.w for r in known.select("w").collect()), frozenset()
-    few = F.broadcast(texts.sparkSession.createDataFrame([(p,) for p in phrases], "p string"))
-    threes = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i), F.get("w", i + 1)))
-    held = texts.select(words.alias("w")).where("size(w) > 2").select(F.explode(F.array_distinct(threes)).alias("p")).join(few, "p").groupBy("p").agg(F.count(F.lit(1)).alias("c"))
-    usual = frozenset(r.p for r in held.collect() if phrases[r.p] >= 0.7 * r.c)
+    closing = texts.where(~ended & x.rlike(r"[\p{L}\p{N}]$")).select(words.alias("w")).where("size(w) > 5").select(last.alias("p"), three(F.size("w") - 3).alias("h"))
+    closing = closing.groupBy("p", "h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max(5, n // CLOSING)).collect()
+    usual: frozenset[str] = frozenset()
+    if closing:
+        few = F.broadcast(texts.sparkSession.createDataFrame([(r.h,) for r in closing], "h bigint"))
+        threes = F.transform(F.sequence(F.lit(0), F.size("w") - 3), three)
+        held = texts.select(words.alias("w")).where("size(w) > 2").select(F.explode(F.array_distinct(threes)).alias("h")).join(few, "h").groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+        held = {r.h: r.c for r in held.collect()}
+        usual = frozenset(r.p for r in closing if r.c >= 0.7 * held[r.h])
     return frozenset(r.w for r in known.select("w").collect()), usual
 
 
@@ -213,7 +214,7 @@ def truncated(df: DataFrame, key: str, text: str, source: str, least: float = LE
     total = narrow.count()
     if total > 4 * sample:  # the lowest hashes lie far below this bound: only they are sorted
         hashed = hashed.where(F.col("h") < int(-(2**63) + 2**64 * (2 * sample / total)))
-    known, usual = statistics(narrow.select("x"))
+    known, usual = statistics(narrow.select("x"), total)
     intact = intact_values([r.x.rstrip() for r in hashed.orderBy("h", "x").limit(sample).select("x").toLocalIterator()], usual)
     # one row per source with a limit
     limits = Stage(df.sparkSession, "truncation").write(field_limits(df, text, source), "limits")
