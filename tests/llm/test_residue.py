@@ -5,7 +5,7 @@ import random
 from chronoflow.llm import residue as R
 from chronoflow.llm import residue_labels as L
 
-#: Residue of other wording than any label; never used to choose labels or threshold.
+#: Residue of other wording than any label; no label was taken from it.
 FRESH = (
     "Sorry, this article has been removed or moved to another address", "403 - You are not allowed to open this directory", "This video player needs JavaScript, please switch it on", "Please wait… checking your connection before proceeding", "Type your text here",
     "Here goes the introduction text", "[Your company name] was founded in [year]", "Dear ${customer.firstName}, thank you", "<%= user.name %> joined", "Error: database unavailable, please try again", "The requested resource is no longer available (410)",
