@@ -59,8 +59,7 @@ def merge_intervals(intervals: DataFrame, keys: list[str], start: str = "start",
         *(F.col(f"`{k}`").alias(o) for k, o in zip(keys, own)), F.col(f"`{start}`").cast("int").alias("__s"), F.col(f"`{end}`").cast("int").alias("__e")
     ).where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*own, "__s", "__e")]) & (F.col("__s") <= F.col("__e")))
     blocks = (
-        valid.distinct()
-        .select(*own, F.explode(dyadic_blocks(F.col("__s"), F.col("__e"))).alias("b"))
+        valid.select(*own, F.explode(dyadic_blocks(F.col("__s"), F.col("__e"))).alias("b"))
         .select(*own, F.expr(f"shiftright(b.i, {SEGMENT} - b.k)").alias("__seg"), F.col("b.k").alias("k"), F.col("b.i").alias("i"))
         .distinct()
     )
