@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,18 +33,43 @@ def order_violations(df: DataFrame, by: list[str], order: str, key: str) -> Data
 
 
 def packed_paragraphs(df: DataFrame, by: list[str], order: str, text: str, room: int) -> DataFrame:
-    """Texts of a group joined in order into paragraphs, each ended as soon as it holds ``room`` characters.
+    """``by``, place, paragraph: texts of a group joined in order into paragraphs, each ended as soon as it holds ``room`` characters.
 
-    A fold over the group's ordered texts: the state is the finished paragraphs and the open one.
-    Groups must fit a row (a page's sentences).
+    Rows are sorted by group and order within partitions and folded as they stream by: only the open
+    paragraph is held, however many rows a group has. Null keys are one group; null texts are left out.
     """
-    ordered = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("s"))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    keys = [f"k{n}" for n in range(len(by))]
+    rows = df.where(F.col(text).isNotNull()).select(*(F.col(b).alias(k) for b, k in zip(by, keys)), F.col(order).alias("o"), F.col(text).alias("x"))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "o", "x")
 
-    def add(acc, x):
-        open_ = F.when(acc.open == "", x[text]).otherwise(F.concat(acc.open, F.lit(" "), x[text]))
-        full = F.length(open_) >= room
-        return F.struct(F.when(full, F.array_append(acc.done, open_)).otherwise(acc.done).alias("done"), F.when(full, F.lit("")).otherwise(open_).alias("open"))
+    def run(batches):
+        own, place, parts, size = None, 0, [], 0
+        schema = None
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in range(len(keys))]
+            schema = schema or pa.schema([*(batch.schema.field(n) for n in range(len(keys))), ("place", pa.int32()), ("paragraph", pa.string())])
+            out = []
+            for *key, x in zip(*columns, batch.column(len(keys) + 1).to_pylist()):
+                if key != own:
+                    if parts:
+                        out.append((*own, place, " ".join(parts)))
+                    own, place, parts, size = key, 0, [], 0
+                if x == "" and not parts:
+                    continue
+                parts.append(x)
+                size += len(x) + (len(parts) > 1)
+                if size >= room:
+                    out.append((*own, place, " ".join(parts)))
+                    place, parts, size = place + 1, [], 0
+            yield _batch(out, schema)
+        if parts:
+            yield _batch([(*own, place, " ".join(parts))], schema)
+
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    done = rows.mapInArrow(run, f"{kinds}, place int, paragraph string")
+    return done.select(*(F.col(k).alias(b) for b, k in zip(by, keys)), "place", "paragraph")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], f.type) for n, f in enumerate(schema)], schema=schema)
 
-    folded = ordered.select(*by, F.aggregate("s", start, add, lambda acc: F.when(acc.open == "", acc.done).otherwise(F.array_append(acc.done, acc.open))).alias("p"))
-    return folded.select(*by, F.posexplode("p").alias("place", "paragraph"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronoflow.functions.text import claim_tokens
@@ -303,21 +304,51 @@ def b05_amounts(t):
 
 # gates
 
-SQL_RESIDUE = "SELECT row_id, list_filter([CASE WHEN contains(text, '{{') OR contains(text, '}}') OR contains(text, '[[') THEN 'RESIDUE' END, CASE WHEN length(text) - length(replace(text, '(', '')) <> length(text) - length(replace(text, ')', '')) THEN 'PAIR' END, CASE WHEN regexp_matches(text, '[,;:]$') THEN 'DANGLE' END, CASE WHEN trim(text) = '' THEN 'BLANK' END, CASE WHEN year_label IS NULL THEN 'ERA' END, CASE WHEN length(text) < 30 THEN 'THIN' END], lambda c: c IS NOT NULL) AS cs FROM published"
+_LED = rf"^((?:{'|'.join(MONTHS)}) [0-9]{{1,2}})[ ]*[–—-]"
+#: Words on which no sentence ends.
+DANGLERS = "the|a|an|of|and|or|to|in|on|at|by|for|with|from|as|but|that|which|who"
+#: Classes of failures a row can show by itself: name and condition, alike in both dialects but for the names of functions.
+SQL_CLASSES = {
+    "RESIDUE": "contains(text, '{{') OR contains(text, '}}') OR contains(text, '[[')",
+    "PAIR": "length(text) - length(replace(text, '(', '')) <> length(text) - length(replace(text, ')', ''))",
+    "DANGLE": rf"regexp_matches(text, '[,;:&/–-]$') OR regexp_matches(lower(text), '(^|[ ])({DANGLERS})$')",
+    "TRUNC": r"regexp_matches(text, '(…|[.]{3}|\[more\]|\[…\])[ ]*$')",
+    "DATE": rf"regexp_matches(text, '{_LED}') AND regexp_matches(date, '^({'|'.join(MONTHS)}) [0-9]{{1,2}}$') AND regexp_extract(text, '{_LED}', 1) <> date",
+    "BLANK": "trim(text) = ''",
+    "ERA": "year_label IS NULL",
+    "SHORT": "length(text) < 30",
+    "DUP": "k > 1",
+    "DEAD": "dead",
+    "THIN": "shown < 3",
+}
+SQL_RESIDUE = f"""SELECT row_id, list_filter([{', '.join(f"CASE WHEN {c} THEN '{n}' END" for n, c in SQL_CLASSES.items())}], lambda c: c IS NOT NULL) AS cs FROM (
+ SELECT *, row_number() OVER (PARTITION BY page_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), text IS NULL ORDER BY row_id) * (trim(text) <> '')::INTEGER AS k, count(*) OVER (PARTITION BY page_id) AS shown,
+  row_id IN (SELECT row_id FROM (SELECT row_id, unnest(links) AS l FROM published) WHERE l NOT IN (SELECT label FROM subjects WHERE label IS NOT NULL)) AS dead FROM published)"""
 
 
 def integrity(t):
+    """Failures of rows by class: markup left, unpaired, dangling, cut, misdated, blank, without era, short, repeated on a page, with a dead link, on a thin page."""
     x = F.col("text")
     n = lambda s: F.length(x) - F.length(F.replace(x, F.lit(s), F.lit("")))
+    flat = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    again = t.published.where("trim(text) <> ''").select("row_id", F.row_number().over(Window.partitionBy("page_id", flat).orderBy("row_id")).alias("k")).where("k > 1")
+    dead = t.published.select("row_id", F.explode("links").alias("label")).join(t.subjects.select("label"), "label", "left_anti").where("label is not null").select("row_id", F.lit(True).alias("dead")).distinct()
+    shown = t.published.groupBy("page_id").agg(F.count(F.lit(1)).alias("shown"))
+    rows = t.published.select("row_id", "page_id", "text", "date", "year_label").join(again, "row_id", "left").join(dead, "row_id", "left").join(shown, "page_id")
     classes = {
         "RESIDUE": F.contains(x, F.lit("{{")) | F.contains(x, F.lit("}}")) | F.contains(x, F.lit("[[")),
         "PAIR": n("(") != n(")"),
-        "DANGLE": x.rlike("[,;:]$"),
+        "DANGLE": x.rlike("[,;:&/–-]$") | F.lower(x).rlike(f"(^|[ ])({DANGLERS})$"),
+        "TRUNC": x.rlike(r"(…|[.]{3}|\[more\]|\[…\])[ ]*$"),
+        "DATE": x.rlike(_LED) & F.col("date").rlike(f"^({'|'.join(MONTHS)}) [0-9]{{1,2}}$") & (F.regexp_extract(x, _LED, 1) != F.col("date")),
         "BLANK": F.trim(x) == "",
         "ERA": F.col("year_label").isNull(),
-        "THIN": F.length(x) < 30,
+        "SHORT": F.length(x) < 30,
+        "DUP": F.col("k") > 1,
+        "DEAD": F.col("dead"),
+        "THIN": F.col("shown") < 3,
     }
-    return V.gate(t.published, "integrity", "row_id", classes)
+    return V.gate(rows, "integrity", "row_id", classes)
 
 
 @R.add()

@@ -133,7 +133,11 @@ def w11_holder_order(t):
     return rows.select("term_id", F.row_number().over(Window.partitionBy("state_link").orderBy("first", F.asc_nulls_last("start"), "term_id")).cast("bigint").alias("place"))
 
 
-@R.add()
+@R.add("""
+WITH s AS (SELECT page_id, list(text ORDER BY row_id) AS l FROM published WHERE trim(text) <> '' GROUP BY page_id),
+f AS (SELECT page_id, list_reduce(l, lambda a, x: CASE WHEN length(a.open) + length(x) + (a.open <> '')::INTEGER >= 700 THEN {'done': list_append(a.done, a.open || CASE WHEN a.open = '' THEN '' ELSE ' ' END || x), 'open': ''} ELSE {'done': a.done, 'open': a.open || CASE WHEN a.open = '' THEN '' ELSE ' ' END || x} END, {'done': []::VARCHAR[], 'open': ''}) AS r FROM s),
+p AS (SELECT page_id, CASE WHEN r.open = '' THEN r.done ELSE list_append(r.done, r.open) END AS ps FROM f)
+SELECT page_id, unnest(range(len(ps)))::INTEGER AS place, unnest(ps) AS paragraph FROM p""")
 def w12_paragraphs(t):
     """A page's sentences packed into paragraphs of at least 700 characters."""
     return O.packed_paragraphs(t.published.where("trim(text) <> ''").select("page_id", "row_id", "text"), ["page_id"], "row_id", "text", 700)

@@ -164,3 +164,26 @@ def test_overlap_counts(spark):
     assert {(r.id, r.g): r.n for r in got.collect()} == want
     none = spark.createDataFrame([], "g string, s int, e int")
     assert J.overlap_counts(spark.createDataFrame(left, "id int, a int, b int"), none, "g", ("a", "b"), ("s", "e")).count() == 0
+
+
+def test_paragraphs_stream_by(spark):
+    """One page with most rows, pages without a key, empty and null texts: as a plain fold gives them."""
+    import random
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1] * 6 + [2, 3, None]), i, rnd.choice([None, "", "x" * rnd.randrange(1, 30), "a b"])) for i in range(3000)]
+
+    def fold(texts):
+        out, open_ = [], ""
+        for x in texts:
+            open_ = x if open_ == "" else f"{open_} {x}"
+            if len(open_) >= 50:
+                out.append(open_)
+                open_ = ""
+        return out + [open_] * (open_ != "")
+
+    want = {(k, n, p) for k in (1, 2, 3, None) for n, p in enumerate(fold([x for key, _, x in sorted(rows, key=lambda r: r[1]) if key == k and x is not None]))}
+    df = spark.createDataFrame(rows, "k int, i int, t string").repartition(7)
+    got = [tuple(r) for r in O.packed_paragraphs(df, ["k"], "i", "t", 50).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert O.packed_paragraphs(df.limit(0), ["k"], "i", "t", 50).count() == 0
