@@ -39,13 +39,18 @@ def write_index(docs: DataFrame, tokens: DataFrame, path: str, share: int = 5) -
     docs.agg(F.count(F.lit(1)).alias("n"), F.lit(share).alias("share")).coalesce(1).write.parquet(f"{path}/about")
 
 
+def stored_postings(spark: SparkSession, path: str) -> DataFrame:
+    """Posting lists as ``write_index`` stores them, in folders by bucket."""
+    return spark.read.schema("token string, shard bigint, docs array<bigint>, bucket string").parquet(f"{path}/postings")
+
+
 def search_index(spark: SparkSession, path: str, queries: dict[str, str], limit: int, first: int | None = None, last: int | None = None) -> DataFrame:
     """``search`` over a stored index: of the postings only the buckets and tokens asked for are read."""
     about = spark.read.parquet(f"{path}/about").first()
     forms = sorted({r.form for r in query_terms(spark, queries).collect()})  # as many as the queries have words
-    lists = spark.read.parquet(f"{path}/postings").where(F.col("bucket").cast("string").isin(sorted({f[0] for f in forms})) & F.col("token").isin(forms))
+    lists = stored_postings(spark, path).where(F.col("bucket").isin(sorted({f[0] for f in forms})) & F.col("token").isin(forms))
     met = lists.select("token", F.explode("docs").alias("doc"))
-    docs = spark.read.parquet(f"{path}/documents")
+    docs = spark.read.schema("doc bigint, year int, text string, shard bigint").parquet(f"{path}/documents")
     return search(docs, met, queries, limit, first, last, share=about.share, documents=about.n)
 
 

@@ -15,7 +15,7 @@ from chronoflow.plans.staging import Stage
 from chronoflow.queries.aggregates import SQL_MD, country, dated
 from chronoflow.queries.checks import SQL_COVERAGE, SQL_LEDGER
 from chronoflow.queries.registry import Registry, Tables
-from chronoflow.operators.search import search, write_index
+from chronoflow.operators.search import search, stored_postings, write_index
 from chronoflow.queries.search import SQL_INDEX, index, sql_norm, sql_search
 
 R = Registry()
@@ -70,7 +70,7 @@ def k05_index_files(t):
     """The index's files by bucket, as written and read back: tokens and postings in each."""
     path = Stage(t.spark, "io").path("index")
     write_index(*index(t), path)
-    return t.spark.read.parquet(f"{path}/postings").groupBy(F.col("bucket").cast("string").alias("bucket")).agg(F.count_distinct("token").alias("tokens"), F.sum(F.size("docs").cast("bigint")).alias("postings"))
+    return stored_postings(t.spark, path).groupBy("bucket").agg(F.count_distinct("token").alias("tokens"), F.sum(F.size("docs").cast("bigint")).alias("postings"))
 
 
 @R.add("SELECT slug, label, description, entries, last_year - first_year AS span FROM subjects WHERE label IS NOT NULL ORDER BY entries DESC, slug")
