@@ -160,6 +160,10 @@ class Model:
 
     def __init__(self, exemplars: tuple[str, ...], frequency: dict[str, int], texts: int, need: float):
         self.exemplars, self.frequency, self.texts, self.need = exemplars, tuple(sorted(frequency.items())), texts, need
+        self._own: Index | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_own": None}
 
     @classmethod
     def fit(cls, df: DataFrame, text: str, labels: dict[str, tuple[str, ...]] | None = None, lookalikes: tuple[str, ...] = L.LOOKALIKES, threshold: float | None = None) -> Model:
@@ -185,7 +189,9 @@ class Model:
 
     def best(self, text: str) -> tuple[float, str] | None:
         """(containment, exemplar) of a text that is residue, else None."""
-        score, n = _index(self.exemplars, self.frequency, self.texts, self.need).best(text)
+        if self._own is None:  # built once per task
+            self._own = _index(self.exemplars, self.frequency, self.texts, self.need)
+        score, n = self._own.best(text)
         return (score, self.exemplars[n]) if score >= self.need - 1e-9 else None
 
 
